@@ -6,31 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kithlink.llm import sharding, simhash
-from kithlink.llm.common import materialise
+from kithlink.llm import decontam, langid, mixing, sharding, simhash
+from kithlink.llm.common import importable, materialise
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: no letter in the text, or no language that holds 0.3 of its letters."""
+    return langid.drop_unknown(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays, the one with the smallest doc_id."""
     return simhash.keep_one_each(docs)
 
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row, with its shard and its place in it."""
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it: 0 to 3 times."""
+    return mixing.mixed_rows(docs)
+
+
+def byte_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, with its shard of 16 and its place in the shard."""
     return sharding.shard_by_bytes(docs, 16, carry=("text", "lang", "source", "n_chars"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("simhash_near_dedup", near_dedup),
-    ("byte_sharding", shard),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("byte_shards", byte_shards),
 ]
 
+#: SQL can't express the fingerprints or the learned languages; tests hold run() against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each one's rows written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,15 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 TEXT_ROWS = 256
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package; a cluster has it installed or gets it by ``addPyFile``."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a temporary folder only where that is unset and Spark runs in one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)

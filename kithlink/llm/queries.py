@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash, urls
+from . import decontam, langid, mixing, pii, quality, sharding, simhash, substring, urls
+from .common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,30 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents")))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 16)
 
@@ -30,6 +55,12 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_url_rules": op3_url_rules,
+    "op4_quality": op4_quality,
+    "op5_decontamination": op5_decontamination,
+    "op6_mixing": op6_mixing,
+    "op7_substring": op7_substring,
+    "op8_personal_data": op8_personal_data,
+    "op9_language": op9_language,
     "op10_byte_shards": op10_byte_shards,
 }
 
@@ -59,5 +90,25 @@ SELECT page_id, host, path, rule, CASE
     WHEN regexp_matches(host, '(^|[.-])({_UNWANTED})([.-]|$)') THEN 'block'
     ELSE 'allow' END AS verdict
 FROM c
+""",
+    "op7_substring": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12)
+), firsts AS (
+  SELECT s, min(doc_id) AS m FROM windows GROUP BY s
+), marks AS (
+  SELECT windows.doc_id, windows.i FROM windows JOIN firsts ON windows.s = firsts.s WHERE windows.doc_id > firsts.m
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM (SELECT doc_id, i, unnest(range(13)) AS j FROM marks)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0
+), kept AS (
+  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.p) AS t, count(*) AS n
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p WHERE gone.p IS NULL GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """,
 }
