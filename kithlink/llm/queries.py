@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, pii, quality, sharding, simhash, substring, urls
+from . import decontam, langid, mixing, multiindex, pii, quality, sharding, simhash, substring, urls
 from .common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return multiindex.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_multi_index": op1_multi_index,
     "op2_simhash": op2_simhash,
     "op3_url_rules": op3_url_rules,
     "op4_quality": op4_quality,
