@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""Batch entity resolution as Spark DataFrame plans."""

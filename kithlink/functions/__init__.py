@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""Column functions and Arrow UDFs."""

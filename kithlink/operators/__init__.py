@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""Operators over record, candidate and score tables."""

@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""Compositions of operators: the pipeline, its command line and the registered queries."""

@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""Readers and writers."""

@@ -1 +1 @@
-"""Spark-native record linkage."""
+"""The record normaliser and exact-key matcher on streams."""
