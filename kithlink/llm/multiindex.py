@@ -3,8 +3,8 @@
 The two halves of the vectors are quantised separately, with ``CENTROIDS`` centroids each, learned by k-means from
 a sample of at most ``SAMPLE`` different vectors (the first by a hash of their ids). Every vector is an entry of
 the cell of its two nearest centroids. A query walks the centroid pairs in the order of summed distance with a
-heap, until the cells it has seen hold ``SHARE`` of all different vectors; their entries are reranked by their exact inner
-product with the query, in double precision.
+heap, until the cells it has seen hold ``SHARE`` of all different vectors, ``LEAST`` at least; their entries are
+reranked by their exact inner product with the query, in double precision.
 
 Cells are grouped by their first centroid. A group's entries and the queries that visit it are both dealt into
 blocks of bounded size by a hash, and each pair of blocks is one matrix product, so no group of entries (such as a
@@ -38,6 +38,8 @@ SAMPLE = 8192
 #: The cells that are reranked for a query hold at least this share of the different vectors. With 64-dimensional
 #: vectors that form no tight clusters, fewer miss a recall of 0.9.
 SHARE = 0.5
+#: And at least so many, so that small tables are searched whole.
+LEAST = 2000
 ENTRY_BLOCK = 4096
 QUERY_BLOCK = 2048
 #: Groups of first centroids that are searched together.
@@ -211,7 +213,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share:
     parts = np.maximum(1, np.ceil([sizes[lines].sum() / ENTRY_BLOCK for lines in groups.values()])).astype(int).tolist()
 
     probes = fit(queries).mapInArrow(
-        partial(_probes, books=shared, counts=counts, enough=share * counts.sum(), groups=groups), "query_id long, vector array<double>, grp int, cells binary")
+        partial(_probes, books=shared, counts=counts, enough=max(share * counts.sum(), LEAST), groups=groups), "query_id long, vector array<double>, grp int, cells binary")
     # every group sees at most all queries; entries meet each block of them, and queries each block of entries
     query_parts = max(1, -(-queries.count() // QUERY_BLOCK))
     parts_of = F.get(F.lit(parts), F.col("grp"))

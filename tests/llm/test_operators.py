@@ -1,0 +1,434 @@
+"""The training-data operators against brute force, on small tables with nulls, ties, repeats and clashing columns."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import duck, rows_of
+from pyspark.sql import functions as F
+
+from kithlink.llm import decontam, langid, mixing, multiindex, pii, quality, queries, sharding, simhash, substring, urls
+from kithlink.llm.common import importable
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def prose(rng, n):
+    return " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho".split()) + str(rng.randint(0, 9)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Copies, near copies, shared passages, empty and null texts, null ids and sources, a very long text, repeated rows."""
+    importable(spark)
+    rng = random.Random(7)
+    texts = [prose(rng, rng.randint(0, 80)) for _ in range(60)]
+    passage = prose(rng, 20)
+    texts += [texts[3], texts[3], texts[5] + " more", f"{prose(rng, 9)} {passage} {prose(rng, 9)}", f"{passage}\n{prose(rng, 30)}", "le " * 40, "le " * 60]
+    texts += ["", " \t\n", None, "one two", prose(rng, 20_000), "ÀÉ ñandú 東京 " * 20]
+    rows = [(i, t, "en", None if i % 11 == 0 else f"s{i % 4}", 0) for i, t in enumerate(texts)]
+    rows += [rows[4], (None, "no id here", "en", "s0", 0), (None, texts[3], None, None, None)]
+    return spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("clash")).withColumn("fp", F.lit(1)).withColumn("_size2", F.lit(2))
+
+
+def collected(df):
+    return [r.asDict() for r in df.collect()]
+
+
+# ---------------------------------------------------------------- near duplicates
+
+
+def plain_fingerprint(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(ids, prints, distance=3):
+    up = list(range(len(ids)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if ids[i] == ids[j] or (prints[i] ^ prints[j]).bit_count() <= distance:
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    groups = {}
+    for i in range(len(ids)):
+        groups.setdefault(root(i), []).append(ids[i])
+    return {i: min(g) for g in groups.values() for i in g}
+
+
+def test_near_duplicates(spark, docs):
+    got = collected(simhash.near_duplicates(docs))
+    rows = [r for r in collected(docs) if r["doc_id"] is not None]
+    want = plain_components([r["doc_id"] for r in rows], [plain_fingerprint(r["text"]) for r in rows])
+    by_id = {r["doc_id"]: r["text"] for r in rows}
+    assert len(got) == docs.count()
+    for r in got:
+        if r["doc_id"] is not None:
+            assert r["fingerprint"] == f"{plain_fingerprint(by_id[r['doc_id']]):016x}" and r["component_id"] == want[r["doc_id"]]
+        else:
+            assert r["component_id"] in (None, 3)
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    kept = collected(simhash.keep_one_each(docs))
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(set(want.values()))
+    assert sum(r["doc_id"] is None for r in kept) == 2
+
+
+@pytest.mark.parametrize("limit", [1, 4096])
+def test_lists_connect_what_pairs_connect(monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BLOCKWISE", limit)
+    rng = random.Random(1)
+    mask = simhash.key_masks(3)[4]
+    values = {0}
+    while len(values) < 150:
+        v = rng.choice(sorted(values))
+        for _ in range(rng.randint(1, 5)):
+            b = rng.randrange(64)
+            v ^= 0 if mask >> b & 1 else 1 << b
+        values.add(v)
+    values = sorted(values)
+    edges = simhash.list_forest(np.array(values, np.uint64), mask, 3, {})
+    assert all((values[a] ^ values[b]).bit_count() <= 3 for a, b in edges) and len(edges) < len(values)
+    up = list(range(len(values)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in edges:
+        up[max(root(a), root(b))] = min(root(a), root(b))
+    want = plain_components(list(range(len(values))), values)
+    assert all((root(i) == root(j)) == (want[i] == want[j]) for i in range(len(values)) for j in range(i))
+
+
+# ---------------------------------------------------------------- URLs
+
+
+def test_urls(spark):
+    cases = {
+        "https://a.Example.ORG/es/1?x": ("a.example.org", "/es/1", "example.org/es/", "block"),
+        "http://example.org/en/123#t": ("example.org", "/en/123", "example.org/en/1", "block"),
+        "http://example.org/en/2": ("example.org", "/en/2", "org/", "allow"),
+        "http://notexample.org": ("notexample.org", "", None, "allow"),
+        "x://shop.com/de/": ("shop.com", "/de/", "com/de/", "block"),
+        "x://shop.com/fr/a": ("shop.com", "/fr/a", "com/fr/", "allow"),
+        "x://xcom/fr/a": ("xcom", "/fr/a", None, "allow"),
+        "x://m.casino-win.net/a": ("m.casino-win.net", "/a", None, "block"),
+        "x://casinos.net/casino": ("casinos.net", "/casino", None, "allow"),
+        "x://org/": ("org", "/", "org/", "allow"),
+        "no scheme": ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+        "x://?q": ("", "", None, "allow"),
+        "x://" + "a" * 50_000 + "/p": ("a" * 50_000, "/p", None, "allow"),
+    }
+    rows = [(i, u) for i, u in enumerate([*cases, "x://org/"])] + [(None, "x://org/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit(1)).withColumn("token", F.lit("t"))
+    got = collected(urls.filter_urls(pages))
+    assert len(got) == len(rows)
+    by_id = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
+    assert {u: by_id[i] for i, u in enumerate(cases)} == cases
+    assert urls.filter_urls(pages.limit(0)).count() == 0
+    no_token = urls.UrlRule("any", "block", "zz", (), 2, True)
+    assert {r["rule"] for r in collected(urls.filter_urls(spark.createDataFrame([(1, "x://buzz/")], "page_id long, url string"), (no_token,)))} == {"any"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    columns, rows = duck(SF, queries.ORACLE_SQL[name])
+    assert sorted(columns) == sorted(df.columns) and rows_of(df.columns, df.collect()) == rows_of(columns, rows)
+
+
+# ---------------------------------------------------------------- shards and mixes
+
+
+@pytest.mark.parametrize("shards", [1, 3, 16])
+def test_shards(spark, docs, shards):
+    got = collected(sharding.shard_by_bytes(docs, shards, carry=("text", "lang")))
+    texts = [r["text"] for r in collected(docs)]
+    assert sorted(r["text_crc32"] for r in got) == sorted(zlib.crc32((t or "").encode()) for t in texts)
+    total, by_shard = sum(r["size"] for r in got), {}
+    for r in got:
+        assert r["size"] == len((r["text"] or "").encode()) + 1 and r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < shards
+        by_shard.setdefault(r["shard"], []).append(r)
+    largest = max(r["size"] for r in got)
+    ends = []
+    for s, rows in sorted(by_shard.items()):
+        assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+        assert sum(r["size"] for r in rows) <= total / shards + largest
+        ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in rows]
+        assert not ends or min(ids) >= ends[-1]
+        ends.append(max(ids))
+    assert sharding.shard_by_bytes(docs.limit(0), shards).count() == 0
+
+
+def test_one_key_with_most_rows(spark):
+    rows = spark.range(300).select(F.when(F.col("id") < 200, 5).otherwise(F.col("id")).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    got = collected(sharding.shard_by_bytes(rows, 4))
+    assert len(got) == 300 and max(sum(r["size"] for r in got if r["shard"] == s) for s in range(4)) - min(sum(r["size"] for r in got if r["shard"] == s) for s in range(4)) <= 10
+
+
+def test_targets():
+    assert mixing.targets({"a": 80, "b": 10, None: 10}) == pytest.approx({"a": 60.0 + 0, "b": 27.0, None: 13.0}, abs=5)
+    found = mixing.targets({"a": 1, "b": 100, "c": 100})
+    assert found["a"] == 3 and sum(found.values()) == pytest.approx(201) and found["b"] / found["c"] == pytest.approx(2)
+    assert list(mixing.targets({None: 1, "é": 1, "z": 1})) and mixing.targets({}) == {}
+    assert mixing.targets({"a": 0}) == {"a": 0}
+
+
+def test_mix(spark, docs):
+    docs = docs.where("text is null or length(text) < 9000")  # else one document is larger than its source's target
+    got = collected(mixing.mix_report(docs))
+    again = collected(mixing.mix_report(docs.repartition(7)))
+    key = lambda rows: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in rows)
+    assert key(got) == key(again) and len(got) == docs.count()
+    sizes = {}
+    for r in collected(docs):
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(WORD.findall(r["text"] or ""))
+    want = mixing.targets(sizes)
+    assert {round(r["target"], 6) for r in got} == {round(v, 6) for v in want.values()}
+    for s, total in sizes.items():
+        own = [r for r in got if r["source_size"] == total and abs(r["target"] - want[s]) < 1e-6]
+        assert all(r["taken"] <= 3 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0) for r in own)
+        smaller = sorted(r["size"] for r in own if r["size"])
+        assert abs(sum(r["taken"] for r in own) - want[s]) <= max(smaller[-2] if len(smaller) > 1 else smaller[-1], 100)
+    assert mixing.mix_report(docs.limit(0)).count() == 0
+    rows = mixing.mixed_rows(docs)
+    assert rows.columns == docs.columns and rows.count() == sum(r["_copies"] for r in collected(mixing.mix(docs)))
+
+
+def test_balance_of_two_margins(spark):
+    cells = spark.createDataFrame([("a", "x", 10.0), ("a", "y", 30.0), ("b", "x", 20.0), ("b", "y", 40.0)], "s string, l string, words double")
+    dual = mixing.balance(cells, {"s": {"a": 60.0, "b": 40.0}, "l": {"x": 50.0, "y": 50.0}})
+    rate = {(s, lang): math.exp(dual["s"][s] + dual["l"][lang]) for s in "ab" for lang in "xy"}
+    words = {(r["s"], r["l"]): r["words"] for r in collected(cells)}
+    assert sum(rate["a", x] * words["a", x] for x in "xy") == pytest.approx(60, rel=1e-4)
+    assert sum(rate[s, "x"] * words[s, "x"] for s in "ab") == pytest.approx(50, rel=1e-4)
+
+
+# ---------------------------------------------------------------- substrings
+
+
+def plain_repeats(rows):
+    words = [(r["doc_id"], (r["text"] or "").encode().split()) for r in rows]
+    first = {}
+    for i, w in words:
+        if i is not None:
+            for j in range(len(w) - 12):
+                k = tuple(w[j : j + 13])
+                first[k] = min(first.get(k, i), i)
+    out = []
+    for i, w in words:
+        keep = [True] * len(w)
+        if i is not None:
+            for j in range(len(w) - 12):
+                if first[tuple(w[j : j + 13])] < i:
+                    keep[j : j + 13] = [False] * 13
+        text = b" ".join(x for x, k in zip(w, keep, strict=True) if k)
+        out.append((i, len(w), keep.count(False), hashlib.sha256(text).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_repeats(spark, docs):
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in collected(substring.remove_repeats(docs))]
+    want = plain_repeats(collected(docs))
+    assert sorted(got, key=str) == want and sum(r[2] for r in want) > 50
+    assert substring.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    rng = random.Random(2)
+    shared, other = prose(rng, 15), prose(rng, 40)
+    rows = [(1, shared + " a"), (2, other), (2, other + " " + shared), (3, other), (3, shared)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in collected(substring.remove_repeats(table))), key=str)
+    assert got == plain_repeats(collected(table))
+
+
+def test_suffix_automaton(spark):
+    rng = random.Random(4)
+    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 25))] for _ in range(8)]
+    automaton = substring.SuffixAutomaton(texts)
+    query = [rng.choice("abcd") for _ in range(60)]
+    for i, got in enumerate(automaton.matching(query)):
+        want = max(k for k in range(i + 2) if k == 0 or any(query[i + 1 - k : i + 1] == t[j : j + k] for t in texts for j in range(len(t))))
+        assert got == want
+    held = prose(rng, 20)
+    table = spark.createDataFrame([(1, f"start {held} end"), (2, "clean text"), (3, None)], "doc_id long, text string")
+    kept = {r["doc_id"]: r["kept"] for r in collected(substring.remove_reference_spans(table, [[held], ["other words"]]))}
+    assert kept == {1: "start end", 2: "clean text", 3: ""}
+
+
+# ---------------------------------------------------------------- personal data
+
+EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_spans(t):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(t)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in CARD.finditer(t):
+        digits = re.sub("[ -]", "", m.group())
+        if 14 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(t) if 10 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return sorted(out)
+
+
+def test_base_spans():
+    rng, automaton = random.Random(9), pii._automaton()
+    cases = ["a@b.c@d.ef", "x" * 100_000 + "@", "1" * 100_000, "1.2.3.4.5.6.7.8.9", "4111 1111 1111 1111", "+1 (415) 555-0101 x", "é a.b@c-d.org", "1..2.3.4.5"]
+    for t in cases + ["".join(rng.choice("a.@1 +-:/9b0()%") for _ in range(50)) for _ in range(3000)]:
+        assert [s for s in pii.find_spans(t, automaton) if s[1] < 4] == plain_spans(t)
+
+
+def test_added_spans(spark):
+    text = "IBAN: GB82 WEST 1234 5698 7654 32, ssn 123-45-6789, see https://user:pw@host.example.com/x. account no 12345678"
+    found = pii.find_spans(text, pii._automaton())
+    assert {pii.KINDS[k] for _, k, _ in found} == {"iban", "ssn", "login", "account", "email"}
+    assert "[iban]" in pii.redact(text) and "123-45" not in pii.redact(text)
+    table = spark.createDataFrame([(1, text), (2, None), (None, ""), (3, "ax.b@c.de 1.2.3.4")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in collected(pii.digest(pii.personal_data(table)))}
+    assert rows[3]["spans"] == "email:0:9,ip:10:17" and rows[3]["base_sha256"] == hashlib.sha256(b"email:0:9,ip:10:17").hexdigest()
+    assert rows[2]["spans"] == rows[None]["spans"] == "" and rows[2]["n_email"] == 0
+    assert rows[1]["base_sha256"] == pii.digest_of(found)
+    assert pii.digest(pii.personal_data(table.limit(0))).count() == 0
+
+
+# ---------------------------------------------------------------- contamination
+
+
+def test_contamination(spark):
+    rng = random.Random(6)
+    items = [(i, prose(rng, n)) for i, n in enumerate([20, 45, 150, 5, 3])] + [(90, ""), (91, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    clean = prose(rng, 400)
+    cut = " ".join(items[1][1].split()[:25])
+    table = spark.createDataFrame([
+        (1, f"{prose(rng, 70)} {items[0][1].upper()}! {prose(rng, 30)}"), (2, f"{prose(rng, 133)} {items[2][1]}"), (3, clean), (4, f"{clean} {cut}"),
+        (5, None), (6, ""), (None, items[1][1]), (7, items[3][1] + " end"), (1, items[1][1])], "doc_id long, text string").withColumn("item_id", F.lit("x"))
+    got = {(r["doc_id"], r["item_id"]) for r in collected(decontam.contaminated(table, bench))}
+    assert got == {(1, 0), (2, 2), (None, 1), (7, 3), (1, 1)}
+    kept = collected(decontam.drop_contaminated(table, bench))
+    assert sorted(str(r["doc_id"]) for r in kept) == ["3", "4", "5", "6"] and decontam.drop_contaminated(table, bench).columns == table.columns
+    assert decontam.contaminated(table, bench.limit(0)).count() == 0 and decontam.contaminated(table.limit(0), bench).count() == 0
+    own = bench.select("item_id", F.col("text").alias("question"), F.lit("answer gamma5 words").alias("answer"))
+    assert decontam.contaminated(table, own).count() == 0
+
+
+def test_wand_retrieves_all():
+    rng = random.Random(8)
+    index = decontam.Index([(i, prose(rng, rng.randint(5, 60)), prose(rng, 3)) for i in range(150)])
+    for _ in range(150):
+        terms, least = sorted(rng.sample(range(len(index.number)), rng.randint(1, 60))), rng.choice([0.02, 0.1, 0.3])
+        sums = {}
+        for t in terms:
+            for d, w in zip(index.docs[t].tolist(), index.impacts[t].tolist(), strict=True):
+                sums[d] = sums.get(d, 0) + w
+        assert sorted(d for d, _ in index.retrieve(terms, least)) == sorted(d for d, s in sums.items() if s >= least)
+
+
+# ---------------------------------------------------------------- languages and quality
+
+
+def test_viterbi():
+    rng = np.random.default_rng(0)
+    sizes = np.array([5, 0, 1, 7, 3])
+    scores = rng.normal(size=(sizes.sum(), 3)).astype(np.float32)
+    got, at = langid.viterbi(scores, sizes, 1.5), 0
+    for n in sizes:
+        own = scores[at : at + n]
+        value = lambda path, own=own: sum(own[i, s] for i, s in enumerate(path)) - 1.5 * sum(a != b for a, b in zip(path, path[1:], strict=False))
+        if n:
+            best = max(value([int(x) for x in np.base_repr(c, 3).zfill(n)]) for c in range(3**n))
+            assert value(got[at : at + n].tolist()) == pytest.approx(best, abs=1e-4)
+        at += n
+
+
+def test_language(spark):
+    docs = importable(spark).read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert (got["lang"] == got["lang_pred"]).mean() > 0.97 and got["score"].between(0, 1).all()
+    model = langid.learn(docs)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "東京 は"), (None, "the thing and")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in collected(langid.identify(odd, model, spans=True))}
+    assert [rows[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and rows[4]["lang_pred"] in model.languages and rows[None]["lang_pred"] == "en"
+    assert rows[1]["score"] == 0 and rows[None]["spans"][0]["start"] == 0 and rows[None]["spans"][-1]["end"] == 13
+    english, german = ("the and that of with thing " * 20, "der die und nicht schach keit " * 20)
+    mixed = spark.createDataFrame([(1, english + german)], "doc_id long, text string")
+    spans = collected(langid.identify(mixed, model, spans=True))[0]["spans"]
+    assert [s["lang"] for s in spans] == ["en", "de"] and abs(spans[1]["start"] - len(english)) < 40
+    assert langid.languages(docs.limit(0)).count() == 0
+    kept = langid.drop_unknown(docs.unionByName(odd.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(0).cast("long").alias("n_chars"))))
+    assert kept.columns == docs.columns and kept.count() == docs.count() + 2
+
+
+def test_quality(spark):
+    docs = importable(spark).read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 3000")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = quality.quality(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    bad, good = got[got["quality"] == 0]["score"], got[got["quality"] == 1]["score"]
+    order = bad.to_numpy()[:, None] - good.to_numpy()[None, :]
+    assert (order < 0).mean() + (order == 0).mean() / 2 > 0.95 and ((got["score"] >= 0.5) == (got["predicted"] == 1)).all()
+    odd = spark.createDataFrame([(1, None), (2, ""), (None, "the " * 500), (4, "x")], "doc_id long, text string")
+    assert all(0 <= r["score"] <= 1 for r in collected(quality.quality(odd, labels.limit(0)))) and quality.quality(odd.limit(0), labels).count() == 0
+    model = quality.learn(docs, labels)
+    assert all(0 <= r["score"] <= 1 for r in collected(quality.score(odd, model)))
+
+
+# ---------------------------------------------------------------- neighbours
+
+
+def test_neighbours(spark, monkeypatch):
+    importable(spark)
+    monkeypatch.setattr(multiindex, "LEAST", 100)
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1500, 16))
+    vectors[200:260] = vectors[7]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(9000, None), (9001, [0.0] * 16), (9002, [float("nan")] * 16), (9003, [1.0] * 5), (9004, [None] * 16), (None, [1.0] * 16), (3, vectors[3].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit("x"))
+    got = multiindex.nearest(table, table.where("vec_id % 20 = 0"), 20).toPandas()
+    assert sorted(got["query_id"].unique()) == list(range(0, 1500, 20))
+    hits = []
+    for q, own in got.sort_values("rank").groupby("query_id"):
+        scores = (vectors * vectors[q]).sum(axis=1)
+        scores[q] = -np.inf
+        want = np.lexsort((np.arange(1500), -scores))[:20]
+        assert own["rank"].tolist() == list(range(1, 21)) and np.allclose(own["score"], scores[own["vec_id"]])
+        assert own["score"].is_monotonic_decreasing and own["vec_id"].tolist() == own.sort_values(["score", "vec_id"], ascending=[False, True])["vec_id"].tolist()
+        hits.append(len(set(want) & set(own["vec_id"])) / 20)
+    assert np.mean(hits) >= 0.9
+    monkeypatch.undo()
+    exact = multiindex.nearest(table, table.where("vec_id = 0"), 20).orderBy("rank").toPandas()
+    scores = (vectors * vectors[0]).sum(axis=1)
+    scores[0] = -np.inf
+    assert exact["vec_id"].tolist() == np.lexsort((np.arange(1500), -scores))[:20].tolist()
+    assert multiindex.nearest(table.limit(0), table, 20).count() == 0
+    assert multiindex.nearest(table.where("vec_id < 3"), table.where("vec_id = 0"), 20).count() == 2
+
+
+def test_multi_sequence():
+    rng = np.random.default_rng(5)
+    first, second, counts = rng.random(6), rng.random(5), rng.integers(0, 4, (6, 5))
+    for enough in (1, 10, 1000):
+        seen = multiindex.visited_cells(first, second, counts, enough)
+        order = np.argsort((first[:, None] + second[None, :]).ravel())
+        held = np.cumsum(counts.ravel()[order])
+        want = order[: int(np.searchsorted(held, enough)) + 1]
+        assert set(np.flatnonzero(seen.ravel())) == set(want.tolist())
