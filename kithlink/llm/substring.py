@@ -10,10 +10,12 @@ length threshold go. An automaton takes some microseconds and about a kilobyte a
 document would stream through every shard, so nothing of it could be broadcast within a bound. Here equal windows
 of ``WINDOW`` words are brought together by hash instead:
 
+0. Rows with equal texts are told by their digests: all but the one with the smallest doc_id lose all their words
+   (if they have a window) and take no further part.
 1. Each window is represented by its anchor, the least hash of its five-grams; equal windows have equal anchors. A
    document's different anchors, about one for five words, are sorted by hash, and those that only one document has
    are dropped. In ordinary text few are left.
-2. Documents with shared anchors hash the windows of those anchors. Sorted by window hash and doc_id, all rows of a
+2. Documents with shared anchors hash the windows of those anchors, each different one once. Sorted by window hash and doc_id, all rows of a
    window but those of its smallest doc_id are marked: their words go.
 3. The marks return to the documents, which are read from the same exchange as in the second step.
 
@@ -44,6 +46,8 @@ WINDOW = 13
 GRAM = 5
 #: Odd numbers that word hashes are multiplied with by their place.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
+#: Stands in a place if its window begins at other words of the text too.
+AGAIN = 1 << 30
 #: Words that are hashed together.
 SLICE_WORDS = 200_000
 
@@ -159,9 +163,10 @@ def _window_rows(batches):
                 grams = gram_hashes(words)
                 at = np.flatnonzero(np.isin(anchors(grams), shared[i].values.to_numpy().view(np.uint64)))
                 if len(at):
-                    out[0].append(window_hashes(words, grams, at).view(np.int64))
-                    out[1].append(np.full(len(at), ids[i]))
-                    out[2].append(at + salt[i])
+                    different, first, count = np.unique(window_hashes(words, grams, at), return_index=True, return_counts=True)
+                    out[0].append(different.view(np.int64))
+                    out[1].append(np.full(len(different), ids[i]))
+                    out[2].append(at[first] + np.where(count > 1, AGAIN, 0) + salt[i])
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["window", "doc_id", "place"])
 
@@ -187,14 +192,22 @@ def _kept(batches, texts_too):
     for batch in batches:
         salt = batch.column(batch.schema.get_field_index("salt")).to_numpy()
         places = batch.column(batch.schema.get_field_index("places"))
+        copies = batch.column(batch.schema.get_field_index("copies"))
         total, removed, digest, kept_text = [], [], [], []
         for start, texts in text_slices(batch):
             for i, text in enumerate(texts, start):
                 words = split_words(text)
                 gone = 0
-                if places[i].is_valid and len(words) >= WINDOW:
+                if copies[i].is_valid and len(words) >= WINDOW and salt[i] in copies[i].values.to_numpy():
+                    gone, words = len(words), []
+                elif places[i].is_valid and len(words) >= WINDOW:
                     at = places[i].values.to_numpy()
                     at = at[(at >> 32) == (salt[i] >> 32)] & 0xFFFFFFFF
+                    again, at = at & AGAIN > 0, at & (AGAIN - 1)
+                    if again.any():
+                        hashed = word_hashes(words)
+                        every = window_hashes(hashed, gram_hashes(hashed), np.arange(len(words) - WINDOW + 1))
+                        at = np.union1d(at, np.flatnonzero(np.isin(every, every[at[again]])))
                     edge = np.zeros(len(words) + 1, np.int64)
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + WINDOW, -1)
@@ -218,19 +231,25 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     text = F.col("text").cast("string")
     salt = F.shiftleft(F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)), 32)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    named = read.where("doc_id is not null")
+    named = read.where("doc_id is not null").withColumn("salt", salt)
 
-    rows = named.mapInArrow(_anchor_rows, "anchor long, doc_id long")
+    # (doc_id, salt) of the rows whose text an earlier document has
+    digests = named.select("doc_id", "salt", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    copied = digests.join(first, "digest").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("salt").alias("copies"))
+    dealt = named.repartition(n, "doc_id").join(copied, "doc_id", "left")  # one exchange of the texts, read three times
+    single = dealt.where(F.col("copies").isNull() | ~F.array_contains("copies", F.col("salt")))
+
+    rows = single.select("doc_id", "text").mapInArrow(_anchor_rows, "anchor long, doc_id long")
     shared = rows.repartition(n, "anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(_shared, "doc_id long, anchor long")
     wanted = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-
-    dealt = named.withColumn("salt", salt).repartition(n, "doc_id")  # one exchange, read twice
-    windows = dealt.join(wanted, "doc_id").mapInArrow(_window_rows, "window long, doc_id long, place long")
+    windows = single.select("doc_id", "text", "salt").join(wanted, "doc_id").mapInArrow(_window_rows, "window long, doc_id long, place long")
     marks = windows.repartition(n, "window").sortWithinPartitions("window", "doc_id").mapInArrow(_repeated, "doc_id long, place long")
     places = marks.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    nameless = read.where("doc_id is null").withColumn("salt", F.lit(0).cast("long")).withColumn("places", F.lit(None).cast("array<long>"))
+    none = F.lit(None).cast("array<long>")
+    nameless = read.where("doc_id is null").select("*", F.lit(0).cast("long").alias("salt"), none.alias("copies"), none.alias("places"))
     final = partial(_kept, texts_too=texts)
     return dealt.join(places, "doc_id", "left").mapInArrow(final, schema).unionByName(nameless.mapInArrow(final, schema))
 
