@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import lexicon
 
@@ -44,7 +45,7 @@ def fold(text: Column) -> Column:
     return F.when(is_missing(text), "").otherwise(F.lower(F.translate(out, source, target)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_exact(text: pd.Series) -> pd.Series:
     return text.map(lambda x: "" if x is None else lexicon.folded(x))
 

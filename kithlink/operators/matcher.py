@@ -96,7 +96,7 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 def train_matcher(features: DataFrame, folds: DataFrame, config: ModelConfig | None = None) -> tuple[Matcher, DataFrame]:
     """The matcher, and its out-of-fold scores: s1_id, t_id, src, p_raw, p, y and fold.
 
-    A fold's model sees none of its pairs; it stops early by the next fold's. Calibration is cross-fitted in the same
+    A fold's model sees none of its pairs; with three folds or more it stops early by the next fold's. Calibration is cross-fitted in the same
     way. A fold whose training pairs have one class only is scored with that class's share.
     """
     config = config or ModelConfig()
@@ -104,8 +104,8 @@ def train_matcher(features: DataFrame, folds: DataFrame, config: ModelConfig | N
     names = sorted(r[0] for r in data.select("fold").distinct().collect())
     models, parts = [], []
     for i, fold in enumerate(names):
-        check = names[(i + 1) % len(names)]
-        train = assembled(data.where(F.col("fold") != fold)).withColumn("_check", F.col("fold") == check).withColumn("y", F.col("y").cast("double"))
+        check = F.col("fold") == names[(i + 1) % len(names)] if len(names) > 2 else F.lit(False)
+        train = assembled(data.where(F.col("fold") != fold)).withColumn("_check", check).withColumn("y", F.col("y").cast("double"))
         share = train.where("not _check").agg(F.avg("y")).first()[0]
         held = data.where(F.col("fold") == fold)
         if share is None or share in (0.0, 1.0):
@@ -114,7 +114,9 @@ def train_matcher(features: DataFrame, folds: DataFrame, config: ModelConfig | N
         booster = GBTClassifier(
             featuresCol="x", labelCol="y", maxIter=config.max_iter, maxDepth=config.max_depth, stepSize=config.learning_rate, seed=config.seed,
             minInstancesPerNode=config.min_instances, subsamplingRate=config.bagging_fraction, featureSubsetStrategy=config.feature_fraction,
-            maxBins=config.max_bins, validationIndicatorCol="_check")
+            maxBins=config.max_bins)
+        if len(names) > 2:
+            booster = booster.setValidationIndicatorCol("_check")
         model = booster.fit(train.select("x", "y", "_check"))
         models.append(model)
         parts.append(Matcher([model], None, {}).predict_raw(held))
