@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words, as a Java and a Python character class.
@@ -72,6 +72,18 @@ def held_out(doc_id: Column) -> Column:
     return learn_remainder(doc_id) == 1
 
 
+def first_by_hash(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Of each ``key`` at most ``n`` rows, the first by a hash of doc_id.
+
+    Keys with more than twice as many rows are cut by the hash before rows are ranked, so ranking sees some 2 * n rows a key.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))  # one row a key
+    near = rows.withColumn("_place", place).join(F.broadcast(sizes), key).where(F.col("_place") * F.col("_size") <= F.lit(2.0 * n * (1 << 40)))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("_place", "doc_id"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= n).select(rows.columns)
+
+
 def text_slices(batch, column: str = "text", rows: int = TEXT_ROWS):
     """(offset, list of str or None) over an Arrow batch, a few rows at a time, so that few texts are Python objects at once."""
     values = batch.column(batch.schema.get_field_index(column))

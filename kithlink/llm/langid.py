@@ -19,10 +19,10 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, text_slices
+from .common import first_by_hash, held_out, text_slices
 
 PER_LANGUAGE = 1500
 BUCKETS = 1 << 18
@@ -122,8 +122,7 @@ def _counts(batches):
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """The model of the documents that may be learned from."""
     known = docs.select("doc_id", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("doc_id", "lang").distinct()
+    chosen = first_by_hash(known, "lang", per_language).distinct()
     # at most per_language rows a language
     sample = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
     counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -221,9 +220,9 @@ def _predict(batches, model, switch, keep, spans):
             pred += [names[i] for i in p]
             score.append(s)
             if spans:
-                edge = np.flatnonzero(np.append(True, (words.doc[1:] != words.doc[:-1]) | (label[1:] != label[:-1]))) if len(label) else []
+                edge = np.flatnonzero(np.append(True, (words.doc[1:] != words.doc[:-1]) | (label[1:] != label[:-1])))[: len(label)].tolist()
                 per: list[list[dict]] = [[] for _ in texts]
-                for a, b in zip(edge, [*edge[1:], len(label)], strict=True):
+                for a, b in zip(edge, [*edge, len(label)][1:], strict=True):
                     per[words.doc[a]].append({"start": int(words.start[a]), "end": int(words.end[b - 1]), "lang": names[label[a]]})
                 found += per
         columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]

@@ -20,10 +20,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, text_slices
+from .common import first_by_hash, held_out, text_slices
 
 PER_LABEL = 1200
 NEIGHBOURS = 9
@@ -173,8 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "quality", per_label
     prior = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     if len(shares) < 2:
         return prior
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_label).drop("_n")  # 2 * per_label rows at most
+    chosen = first_by_hash(known, "label", per_label)  # 2 * per_label rows at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     rows = sample.dropDuplicates(["doc_id", "label"]).orderBy("doc_id", "label").select("label", "text").mapInArrow(_features, "label int, counts binary").collect()
