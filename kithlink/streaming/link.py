@@ -1,6 +1,6 @@
 """Linking of records that arrive on a stream against a table of targets.
 
-The reference data flow is a batch; this is an addition. Normalisation is a stateless projection, so it runs on a
+The linkage itself is a batch; this is an addition. Normalisation is a stateless projection, so it runs on a
 stream as it is. Exact keys are a stream-static join; each micro-batch can also be scored in full with ``foreachBatch``.
 """
 
