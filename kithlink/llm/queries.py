@@ -116,5 +116,33 @@ WITH d AS (
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+""",
+    # crc32 by pieces of 256 bytes: zero bytes in front don't change a register of zero, and 62F52692 brings it to all ones
+    "op10_byte_shards": r"""
+WITH steps AS (
+  SELECT list(e ORDER BY k) AS entry FROM (
+    SELECT k, list_reduce(list_concat([k], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))) AS e FROM (SELECT unnest(range(256)) AS k))
+), jumps AS (
+  SELECT list(e ORDER BY k) FILTER (p = 0) AS j0, list(e ORDER BY k) FILTER (p = 1) AS j1, list(e ORDER BY k) FILTER (p = 2) AS j2, list(e ORDER BY k) FILTER (p = 3) AS j3
+  FROM (SELECT k, p, list_reduce(list_concat([k << (8 * p)], range(256)), lambda c, i: xor(c >> 8, entry[(c & 255) + 1])) AS e
+    FROM (SELECT unnest(range(256)) AS k) CROSS JOIN (SELECT unnest(range(4)) AS p) CROSS JOIN steps)
+), d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, '62F52692' || hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+  SELECT doc_id, i, substr(padded, 512 * i + 1, 512) AS piece FROM (SELECT doc_id, padded, unnest(range(len(padded) // 512)) AS i
+    FROM (SELECT doc_id, repeat('0', (512 - len(h) % 512) % 512) || h AS padded FROM d))
+), sums AS (
+  SELECT doc_id, list(c ORDER BY i) AS found FROM (
+    SELECT doc_id, i, list_reduce(list_concat([0], list_transform(range(256), lambda k: CAST('0x' || substr(piece, 2 * k + 1, 2) AS BIGINT))),
+      lambda c, x: xor(c >> 8, entry[(xor(c, x) & 255) + 1])) AS c FROM pieces CROSS JOIN steps) GROUP BY doc_id
+), crcs AS (
+  SELECT doc_id, xor(4294967295, list_reduce(found, lambda c, x: xor(x, xor(xor(j0[(c & 255) + 1], j1[((c >> 8) & 255) + 1]), xor(j2[((c >> 16) & 255) + 1], j3[(c >> 24) + 1]))))) AS crc
+  FROM sums CROSS JOIN jumps
+), s AS (
+  SELECT doc_id, size, crc, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM d JOIN crcs USING (doc_id)
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(before * 16 // total AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY before * 16 // total ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
 """,
 }
