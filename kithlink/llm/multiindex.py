@@ -187,8 +187,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share:
     """query_id, rank, vec_id and score of the nearest ``vectors`` found for each of ``queries`` (both vec_id, embedding)."""
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # repeated rows go before anything is cut to k
     clean = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where(
-        F.col("vec_id").isNotNull() & usable(F.col("vector")))
+        F.col("vec_id").isNotNull() & usable(F.col("vector"))).dropDuplicates(["vec_id", "vector"])
     order = [F.xxhash64("vec_id"), "vec_id"]
     rows = clean(vectors).orderBy(*order).limit(SAMPLE).collect()  # at most SAMPLE rows
     if not rows:
