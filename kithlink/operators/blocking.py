@@ -168,9 +168,8 @@ def char_vectors(records: DataFrame, config: BlockingConfig) -> tuple[DataFrame,
     return tuple(vectors.char_tfidf(records, c, low, high, config.char_min_df) for c in ("name_core", "addr_core"))
 
 
-def generate_candidates(records: DataFrame, config: BlockingConfig | None = None, postings: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """All blockers, their union, scores and pruning."""
-    config = config or BlockingConfig()
+def union_pairs(records: DataFrame, config: BlockingConfig, postings: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The union of all blockers, and the postings of name and address."""
     name, address = postings or tuple(stored(p, "postings") for p in char_vectors(records, config))
     near = similarities(records, *retrieval_postings(records, config, name, address), config.combined_name_weight)
     near = stored(near, "similar")  # ranked three times
@@ -182,4 +181,11 @@ def generate_candidates(records: DataFrame, config: BlockingConfig | None = None
         found = found.unionByName(tag(postal_pairs(records, name, config), "b_postal"))
     if config.use_acronym_block:
         found = found.unionByName(tag(acronym_pairs(records, config), "b_acr"))
-    return prune(add_scores(stored(union_bits(found), "pairs"), records, name, address, config.combined_name_weight), config)
+    return union_bits(found), name, address
+
+
+def generate_candidates(records: DataFrame, config: BlockingConfig | None = None, postings: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """All blockers, their union, scores and pruning."""
+    config = config or BlockingConfig()
+    found, name, address = union_pairs(records, config, postings)
+    return prune(add_scores(stored(found, "pairs"), records, name, address, config.combined_name_weight), config)

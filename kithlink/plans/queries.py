@@ -7,6 +7,7 @@ SQL can build too, so that joins, scores and reports are held against SQL from e
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def pair_query(name: str, sql: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """A query over the pairs that its SQL sees, and under ``name``_whole the same over all candidates."""
+    def add(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        query(f"{name}_whole", sql.replace(_PAIRS, _WHOLE))(partial(function, pairs_of=candidate_pairs))
+        return query(name, sql)(function)
+
+    return add
+
+
 def _r(column: str, digits: int = 6):
     return F.round(column, digits).alias(column)
 
@@ -122,7 +132,8 @@ _POSTAL = f""", codes AS (SELECT entity_id, source, unnest(list_distinct(list_fi
 ), postal AS (SELECT s1_id, t_id, src FROM (
   SELECT p.*, coalesce(name_cos, 0) AS cos, row_number() OVER (PARTITION BY p.s1_id, p.src ORDER BY coalesce(name_cos, 0) DESC, p.t_id) AS r
   FROM pairs_p p LEFT JOIN sim ON p.s1_id = sim.s1_id AND p.t_id = sim.t_id WHERE coalesce(name_cos, 0) > {CONFIG.postal_min_cosine}) WHERE r <= {CONFIG.postal_k})"""
-#: Pairs that the equi-join blockers find, with exact scores: the smaller candidate set that score and report queries use.
+#: Pairs that rare tokens, exact keys and acronyms find, with exact scores: what the SQL of score and report queries sees. Neighbours,
+#: postal codes and pruning are missing here; the queries named ..._whole have them.
 _SCORED = """, pairs AS (
   SELECT s1_id, t_id, src, sum(bit) AS bits FROM (
     SELECT *, 8 AS bit FROM rare UNION ALL SELECT *, 16 FROM keyed UNION ALL SELECT *, 64 FROM acro) GROUP BY s1_id, t_id, src
@@ -132,6 +143,21 @@ _SCORED = """, pairs AS (
       ELSE 0.6 * coalesce(name_cos, 0) + (1 - 0.6) * coalesce(addr_cos, 0) END, 9) AS cheap
   FROM pairs p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id LEFT JOIN sim ON p.s1_id = sim.s1_id AND p.t_id = sim.t_id)"""
 _PAIRS = "WITH " + _VIEWS + _CHARS + _SIM + _RARE + _KEYS + _ACRONYM + _SCORED
+_ALL = f"""WITH {_VIEWS}{_CHARS}{_SIM}{_KNN}{_RARE}{_KEYS}{_ACRONYM}{_POSTAL}, bits AS (
+  SELECT s1_id, t_id, src, sum(bit) AS bits FROM (
+    SELECT s1_id, t_id, src, 1 AS bit FROM knn_name_cos UNION ALL SELECT s1_id, t_id, src, 2 FROM knn_addr_cos UNION ALL SELECT s1_id, t_id, src, 4 FROM knn_comb
+    UNION ALL SELECT *, 8 FROM rare UNION ALL SELECT *, 16 FROM keyed UNION ALL SELECT *, 32 FROM postal UNION ALL SELECT *, 64 FROM acro) GROUP BY s1_id, t_id, src
+), s AS (
+  SELECT p.*, coalesce(name_cos, 0) AS name_cos, coalesce(addr_cos, 0) AS addr_cos,
+    round(CASE WHEN len(x.n) = 0 OR len(y.n) = 0 THEN coalesce(addr_cos, 0) WHEN len(x.a) = 0 OR len(y.a) = 0 THEN coalesce(name_cos, 0)
+      ELSE 0.6 * coalesce(name_cos, 0) + (1 - 0.6) * coalesce(addr_cos, 0) END, 9) AS cheap
+  FROM bits p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id LEFT JOIN sim ON p.s1_id = sim.s1_id AND p.t_id = sim.t_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, src ORDER BY cheap DESC, t_id) AS rc,
+    row_number() OVER (PARTITION BY s1_id, src ORDER BY name_cos DESC, t_id) AS rn, row_number() OVER (PARTITION BY s1_id, src ORDER BY addr_cos DESC, t_id) AS ra FROM s
+), cand AS (SELECT s1_id, t_id, src, bits, name_cos, addr_cos, cheap FROM r WHERE CAST(bits AS INTEGER) & 80 <> 0 OR (rc <= {CONFIG.max_candidates_per_source} AND cheap >= {CONFIG.min_cheap_score})
+    OR (rn <= {CONFIG.keep_top_name} AND name_cos >= {CONFIG.min_cheap_score}) OR (ra <= {CONFIG.keep_top_address} AND addr_cos >= {CONFIG.keep_address_cosine}))"""
+#: All seven blockers, pruned, in the place of ``_PAIRS``.
+_WHOLE = "WITH " + _VIEWS + ", scored AS (" + _ALL + " SELECT * FROM cand)"
 
 
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +172,13 @@ def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.add_scores(blocking.union_bits(found), views, *blocking.char_vectors(views, CONFIG), CONFIG.combined_name_weight)
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = scored_pairs(spark, sf_dir)
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``scored_pairs``, of all seven blockers and pruned."""
+    return blocking.generate_candidates(_views(spark, sf_dir), CONFIG)
+
+
+def _labelled(spark: SparkSession, sf_dir: str, pairs_of: Query) -> DataFrame:
+    pairs = pairs_of(spark, sf_dir)
     true = fixtures.truth(spark, sf_dir).withColumn("y", F.lit(1))
     return pairs.join(true, ["s1_id", "t_id"], "left").select("s1_id", "t_id", "src", "bits", F.coalesce("y", F.lit(0)).alias("y"), F.col("cheap").alias("p"))
 
@@ -290,24 +321,16 @@ def j8_union_bits(spark, sf_dir):
     return scored_pairs(spark, sf_dir).select("s1_id", "t_id", "src", F.col("bits").cast("long").alias("bits"), F.col("n_blocks").cast("long").alias("n_blocks"))
 
 
-@query("j9_cheap_score", f"{_PAIRS} SELECT s1_id, t_id, round(name_cos, 6) AS name_cos, round(addr_cos, 6) AS addr_cos, round(cheap, 6) AS cheap FROM scored")
-def j9_cheap_score(spark, sf_dir):
-    return scored_pairs(spark, sf_dir).select("s1_id", "t_id", _r("name_cos"), _r("addr_cos"), _r("cheap"))
+@query("j8_union_bits_whole", f"{_ALL} SELECT s1_id, t_id, src, CAST(bits AS BIGINT) AS bits, CAST(bit_count(CAST(bits AS INTEGER)) AS BIGINT) AS n_blocks FROM bits")
+def j8_union_bits_whole(spark, sf_dir):
+    """All seven blockers, before pruning."""
+    found, *_ = blocking.union_pairs(_views(spark, sf_dir), CONFIG)
+    return found.select("s1_id", "t_id", "src", F.col("bits").cast("long").alias("bits"), F.col("n_blocks").cast("long").alias("n_blocks"))
 
 
-_ALL = f"""WITH {_VIEWS}{_CHARS}{_SIM}{_KNN}{_RARE}{_KEYS}{_ACRONYM}{_POSTAL}, bits AS (
-  SELECT s1_id, t_id, src, sum(bit) AS bits FROM (
-    SELECT s1_id, t_id, src, 1 AS bit FROM knn_name_cos UNION ALL SELECT s1_id, t_id, src, 2 FROM knn_addr_cos UNION ALL SELECT s1_id, t_id, src, 4 FROM knn_comb
-    UNION ALL SELECT *, 8 FROM rare UNION ALL SELECT *, 16 FROM keyed UNION ALL SELECT *, 32 FROM postal UNION ALL SELECT *, 64 FROM acro) GROUP BY s1_id, t_id, src
-), s AS (
-  SELECT p.*, coalesce(name_cos, 0) AS name_cos, coalesce(addr_cos, 0) AS addr_cos,
-    round(CASE WHEN len(x.n) = 0 OR len(y.n) = 0 THEN coalesce(addr_cos, 0) WHEN len(x.a) = 0 OR len(y.a) = 0 THEN coalesce(name_cos, 0)
-      ELSE 0.6 * coalesce(name_cos, 0) + (1 - 0.6) * coalesce(addr_cos, 0) END, 9) AS cheap
-  FROM bits p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id LEFT JOIN sim ON p.s1_id = sim.s1_id AND p.t_id = sim.t_id
-), r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, src ORDER BY cheap DESC, t_id) AS rc,
-    row_number() OVER (PARTITION BY s1_id, src ORDER BY name_cos DESC, t_id) AS rn, row_number() OVER (PARTITION BY s1_id, src ORDER BY addr_cos DESC, t_id) AS ra FROM s
-), cand AS (SELECT s1_id, t_id, src, bits, name_cos, addr_cos, cheap FROM r WHERE CAST(bits AS INTEGER) & 80 <> 0 OR (rc <= {CONFIG.max_candidates_per_source} AND cheap >= {CONFIG.min_cheap_score})
-    OR (rn <= {CONFIG.keep_top_name} AND name_cos >= {CONFIG.min_cheap_score}) OR (ra <= {CONFIG.keep_top_address} AND addr_cos >= {CONFIG.keep_address_cosine}))"""
+@pair_query("j9_cheap_score", f"{_PAIRS} SELECT s1_id, t_id, round(name_cos, 6) AS name_cos, round(addr_cos, 6) AS addr_cos, round(cheap, 6) AS cheap FROM scored")
+def j9_cheap_score(spark, sf_dir, pairs_of=scored_pairs):
+    return pairs_of(spark, sf_dir).select("s1_id", "t_id", _r("name_cos"), _r("addr_cos"), _r("cheap"))
 
 
 @query("j10_candidates", _ALL + " SELECT s1_id, t_id, src, CAST(bits AS BIGINT) AS bits, round(cheap, 6) AS cheap FROM cand")
@@ -315,9 +338,9 @@ def j10_candidates(spark, sf_dir):
     return blocking.generate_candidates(_views(spark, sf_dir), CONFIG).select("s1_id", "t_id", "src", F.col("bits").cast("long").alias("bits"), _r("cheap"))
 
 
-@query("j14_missed", f"{_PAIRS} SELECT DISTINCT t.s1_id, t.t_id, substr(t.t_id, 1, 2) AS src FROM truth t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id WHERE p.s1_id IS NULL")
-def j14_missed(spark, sf_dir):
-    return metrics.missed_pairs(scored_pairs(spark, sf_dir), fixtures.truth(spark, sf_dir))
+@pair_query("j14_missed", f"{_PAIRS} SELECT DISTINCT t.s1_id, t.t_id, substr(t.t_id, 1, 2) AS src FROM truth t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id WHERE p.s1_id IS NULL")
+def j14_missed(spark, sf_dir, pairs_of=scored_pairs):
+    return metrics.missed_pairs(pairs_of(spark, sf_dir), fixtures.truth(spark, sf_dir))
 
 
 @query("j15_pair_view", f"WITH {_RECORDS} SELECT DISTINCT t.s1_id, t.t_id, x.business_name AS s1_name, x.business_address AS s1_address, x.country AS s1_country, y.business_name AS t_name, y.business_address AS t_address, y.country AS t_country FROM truth t JOIN recs x ON t.s1_id = x.entity_id JOIN recs y ON t.t_id = y.entity_id")
@@ -346,41 +369,41 @@ def j18_orphan_countries(spark, sf_dir):
 # ---------------------------------------------------------------- features
 
 
-def _with_views(spark: SparkSession, sf_dir: str, rich: bool = False) -> DataFrame:
+def _with_views(spark: SparkSession, sf_dir: str, pairs_of: Query, rich: bool = False) -> DataFrame:
     views = _views(spark, sf_dir)
     views = features.with_idf(views, "name_tokens", "name_idf") if rich else views
-    return scored_pairs(spark, sf_dir).select("s1_id", "t_id").join(features._views(views, "1"), "s1_id").join(features._views(views, "2"), "t_id")
+    return pairs_of(spark, sf_dir).select("s1_id", "t_id").join(features._views(views, "1"), "s1_id").join(features._views(views, "2"), "t_id")
 
 
-@query("f3_token_overlap", f"""{_PAIRS}, o AS (SELECT s1_id, t_id, len(x.n) AS l1, len(y.n) AS l2, len(list_distinct(x.n)) AS d1, len(list_distinct(y.n)) AS d2,
+@pair_query("f3_token_overlap", f"""{_PAIRS}, o AS (SELECT s1_id, t_id, len(x.n) AS l1, len(y.n) AS l2, len(list_distinct(x.n)) AS d1, len(list_distinct(y.n)) AS d2,
   len(list_filter(list_distinct(x.n), lambda t: list_contains(y.n, t))) AS i FROM scored p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id)
 SELECT s1_id, t_id, CASE WHEN l1 > 0 AND l2 > 0 THEN CAST(i AS DOUBLE) END AS inter, round(CASE WHEN l1 > 0 AND l2 > 0 THEN CAST(i AS DOUBLE) / (d1 + d2 - i) END, 6) AS jacc, round(CASE WHEN l1 > 0 AND l2 > 0 THEN CAST(i AS DOUBLE) / least(d1, d2) END, 6) AS overlap FROM o""")
-def f3_token_overlap(spark, sf_dir):
+def f3_token_overlap(spark, sf_dir, pairs_of=scored_pairs):
     stats = features.set_stats(F.col("name_tokens1"), F.col("name_tokens2"))
-    return _with_views(spark, sf_dir).select("s1_id", "t_id", *[F.round(v, 6).alias(k) for k, v in stats.items()])
+    return _with_views(spark, sf_dir, pairs_of).select("s1_id", "t_id", *[F.round(v, 6).alias(k) for k, v in stats.items()])
 
 
-@query("f4_idf_overlap", f"""{_PAIRS}, u AS (SELECT entity_id, unnest(list_distinct(n)) AS term FROM v), d AS (SELECT term, ln((1.0 + max(total)) / (1.0 + count(*))) + 1 AS idf FROM u CROSS JOIN size GROUP BY term
+@pair_query("f4_idf_overlap", f"""{_PAIRS}, u AS (SELECT entity_id, unnest(list_distinct(n)) AS term FROM v), d AS (SELECT term, ln((1.0 + max(total)) / (1.0 + count(*))) + 1 AS idf FROM u CROSS JOIN size GROUP BY term
 ), e AS (SELECT u.entity_id, u.term, idf FROM u JOIN d ON u.term = d.term), s AS (SELECT entity_id, sum(idf) AS total_idf FROM e GROUP BY entity_id
 ), m AS (SELECT p.s1_id, p.t_id, sum(x.idf) AS shared, max(x.idf) AS top FROM scored p JOIN e x ON p.s1_id = x.entity_id JOIN e y ON p.t_id = y.entity_id AND x.term = y.term GROUP BY p.s1_id, p.t_id)
 SELECT p.s1_id, p.t_id, round(coalesce(shared, 0) / greatest(a.total_idf + b.total_idf - coalesce(shared, 0), 1e-6), 6) AS idf_jacc, round(CASE WHEN a.entity_id IS NOT NULL AND b.entity_id IS NOT NULL THEN coalesce(top, 0) END, 6) AS max_shared_idf,
   round(a.total_idf + b.total_idf - 2 * coalesce(shared, 0), 6) AS unshared_idf
 FROM scored p LEFT JOIN s a ON p.s1_id = a.entity_id LEFT JOIN s b ON p.t_id = b.entity_id LEFT JOIN m ON p.s1_id = m.s1_id AND p.t_id = m.t_id""")
-def f4_idf_overlap(spark, sf_dir):
+def f4_idf_overlap(spark, sf_dir, pairs_of=scored_pairs):
     stats = features.idf_stats(F.col("name_idf1"), F.col("name_idf2"))
-    return _with_views(spark, sf_dir, rich=True).select("s1_id", "t_id", *[F.round(v, 6).alias(k) for k, v in stats.items()])
+    return _with_views(spark, sf_dir, pairs_of, rich=True).select("s1_id", "t_id", *[F.round(v, 6).alias(k) for k, v in stats.items()])
 
 
 @query("f6_f9_ratios")
 def f6_ratios(spark, sf_dir):
     scores = similarity.scores(F.col("name_core1"), F.col("name_core2"), "ratio", "partial", "token_sort", "token_set")
-    return _with_views(spark, sf_dir).select("s1_id", "t_id", scores.alias("x")).select("s1_id", "t_id", "x.*")
+    return _with_views(spark, sf_dir, candidate_pairs).select("s1_id", "t_id", scores.alias("x")).select("s1_id", "t_id", "x.*")
 
 
-@query("f10_jaro_winkler", f"{_PAIRS} SELECT s1_id, t_id, round(jaro_winkler_similarity(array_to_string(x.n, ' '), array_to_string(y.n, ' ')), 6) AS score FROM scored p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id")
-def f10_jaro_winkler(spark, sf_dir):
+@pair_query("f10_jaro_winkler", f"{_PAIRS} SELECT s1_id, t_id, round(jaro_winkler_similarity(array_to_string(x.n, ' '), array_to_string(y.n, ' ')), 6) AS score FROM scored p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id")
+def f10_jaro_winkler(spark, sf_dir, pairs_of=scored_pairs):
     scores = similarity.scores(F.col("name_core1"), F.col("name_core2"), "jaro_winkler")
-    return _with_views(spark, sf_dir).select("s1_id", "t_id", F.round(scores["jaro_winkler"], 6).alias("score"))
+    return _with_views(spark, sf_dir, pairs_of).select("s1_id", "t_id", F.round(scores["jaro_winkler"], 6).alias("score"))
 
 
 @query("f1_f28_features")
@@ -389,12 +412,12 @@ def f_features(spark, sf_dir):
     return features.build_features(views, stored(blocking.generate_candidates(views, CONFIG), "candidates"))
 
 
-@query("w3_competition", f"""{_PAIRS}, r AS (SELECT s1_id, t_id, src, cheap, row_number() OVER w AS rank, max(cheap) OVER p AS best, count(*) OVER p AS n,
+@pair_query("w3_competition", f"""{_PAIRS}, r AS (SELECT s1_id, t_id, src, cheap, row_number() OVER w AS rank, max(cheap) OVER p AS best, count(*) OVER p AS n,
   coalesce(nth_value(cheap, 2) OVER (PARTITION BY s1_id, src ORDER BY cheap DESC, t_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) AS second FROM scored
   WINDOW w AS (PARTITION BY s1_id, src ORDER BY cheap DESC, t_id), p AS (PARTITION BY s1_id, src))
 SELECT s1_id, t_id, rank, round(cheap - CASE WHEN rank = 1 THEN second ELSE best END, 6) AS margin, round(best - cheap, 6) AS gap_to_best, n FROM r""")
-def w3_competition(spark, sf_dir):
-    rows = features.competition(scored_pairs(spark, sf_dir), ["s1_id", "src"], "cheap", "c", ["t_id"])
+def w3_competition(spark, sf_dir, pairs_of=scored_pairs):
+    rows = features.competition(pairs_of(spark, sf_dir), ["s1_id", "src"], "cheap", "c", ["t_id"])
     return rows.select("s1_id", "t_id", F.col("c_rank").cast("long").alias("rank"), F.round("c_margin", 6).alias("margin"), F.round("c_gap_to_best", 6).alias("gap_to_best"), F.col("c_n").alias("n"))
 
 
@@ -419,38 +442,38 @@ _KEPT = f"SELECT s1_id, t_id FROM lab WHERE p >= {_THRESHOLD}"
 _SCORES = _LABELLED + _entity_sql(_KEPT)
 
 
-def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decision.apply_policy(_labelled(spark, sf_dir), decision.Policy(threshold=_THRESHOLD))
+def _kept(spark: SparkSession, sf_dir: str, pairs_of: Query) -> DataFrame:
+    return decision.apply_policy(_labelled(spark, sf_dir, pairs_of), decision.Policy(threshold=_THRESHOLD))
 
 
-@query("w4_exclusive_best", f"{_LABELLED} SELECT t_id, s1_id FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY p DESC, s1_id) AS r FROM lab) WHERE r = 1")
-def w4_exclusive_best(spark, sf_dir):
-    return decision.exclusive_best(_labelled(spark, sf_dir)).where("best").select("t_id", "s1_id")
+@pair_query("w4_exclusive_best", f"{_LABELLED} SELECT t_id, s1_id FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY p DESC, s1_id) AS r FROM lab) WHERE r = 1")
+def w4_exclusive_best(spark, sf_dir, pairs_of=scored_pairs):
+    return decision.exclusive_best(_labelled(spark, sf_dir, pairs_of)).where("best").select("t_id", "s1_id")
 
 
-@query("d1_threshold", f"{_LABELLED} {_KEPT}")
-def d1_threshold(spark, sf_dir):
-    return _kept(spark, sf_dir).select("s1_id", "t_id")
+@pair_query("d1_threshold", f"{_LABELLED} {_KEPT}")
+def d1_threshold(spark, sf_dir, pairs_of=scored_pairs):
+    return _kept(spark, sf_dir, pairs_of).select("s1_id", "t_id")
 
 
-@query("d2_source_threshold", f"{_LABELLED} SELECT s1_id, t_id FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY p DESC, s1_id) AS r FROM lab) WHERE r = 1 AND p >= CASE WHEN src = 'S2' THEN 0.5 ELSE 0.7 END")
-def d2_source_threshold(spark, sf_dir):
+@pair_query("d2_source_threshold", f"{_LABELLED} SELECT s1_id, t_id FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY p DESC, s1_id) AS r FROM lab) WHERE r = 1 AND p >= CASE WHEN src = 'S2' THEN 0.5 ELSE 0.7 END")
+def d2_source_threshold(spark, sf_dir, pairs_of=scored_pairs):
     policy = decision.Policy("source_threshold", True, 0.7, {"S2": 0.5, "S3": 0.7})
-    return decision.apply_policy(_labelled(spark, sf_dir), policy).select("s1_id", "t_id")
+    return decision.apply_policy(_labelled(spark, sf_dir, pairs_of), policy).select("s1_id", "t_id")
 
 
 @query("d3_expected_f")
 def d3_expected_f(spark, sf_dir):
-    return decision.apply_policy(_labelled(spark, sf_dir), decision.Policy("expected_f", True, gamma=1.25)).select("s1_id", "t_id")
+    return decision.apply_policy(_labelled(spark, sf_dir, candidate_pairs), decision.Policy("expected_f", True, gamma=1.25)).select("s1_id", "t_id")
 
 
-@query("d5_threshold_grid", f"""{_LABELLED}, grid AS (SELECT 0.1 * unnest(range(1, 10)) AS t), c AS (SELECT s1_id, t, count(*) AS n_pred, sum(y) AS tp FROM lab JOIN grid ON p >= t - 1e-12 GROUP BY s1_id, t
+@pair_query("d5_threshold_grid", f"""{_LABELLED}, grid AS (SELECT 0.1 * unnest(range(1, 10)) AS t), c AS (SELECT s1_id, t, count(*) AS n_pred, sum(y) AS tp FROM lab JOIN grid ON p >= t - 1e-12 GROUP BY s1_id, t
 ), n AS (SELECT s1_id, count(DISTINCT t_id) AS n_true FROM truth GROUP BY s1_id)
 SELECT CAST(round(g.t * 10) AS BIGINT) AS tenth, round(avg(CASE WHEN coalesce(n_true, 0) = 0 AND coalesce(n_pred, 0) = 0 THEN 1.0 ELSE 1.25 * coalesce(tp, 0) / (0.25 * coalesce(n_true, 0) + coalesce(n_pred, 0)) END), 6) AS macro_f
 FROM spine s CROSS JOIN grid g LEFT JOIN c ON c.s1_id = s.s1_id AND c.t = g.t LEFT JOIN n ON n.s1_id = s.s1_id GROUP BY g.t""")
-def d5_threshold_grid(spark, sf_dir):
+def d5_threshold_grid(spark, sf_dir, pairs_of=scored_pairs):
     """Each record's pairs are counted by the highest grid point they reach; running sums over points give all thresholds at once."""
-    pairs = _labelled(spark, sf_dir).withColumn("top", F.least(F.floor(F.col("p") * 10 + 1e-11), F.lit(9)).cast("int")).where("top >= 1")
+    pairs = _labelled(spark, sf_dir, pairs_of).withColumn("top", F.least(F.floor(F.col("p") * 10 + 1e-11), F.lit(9)).cast("int")).where("top >= 1")
     reached = pairs.groupBy("s1_id", "top").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
     lists = reached.groupBy("s1_id").agg(F.collect_list(F.struct("top", "n", "y")).alias("x"))
     n_true = fixtures.truth(spark, sf_dir).groupBy("s1_id").agg(F.countDistinct("t_id").alias("n_true"))
@@ -464,7 +487,7 @@ def d5_threshold_grid(spark, sf_dir):
 def d6_tune_policy(spark, sf_dir):
     truth, spine = fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)
     folds = stored(graph.make_folds(truth, spine, fixtures.countries(spark, sf_dir)), "folds")
-    _, table, _ = decision.tune_policy(stored(_labelled(spark, sf_dir), "scored"), truth, folds)
+    _, table, _ = decision.tune_policy(stored(_labelled(spark, sf_dir, candidate_pairs), "scored"), truth, folds)
     return spark.createDataFrame(table)
 
 
@@ -485,30 +508,30 @@ def g2_folds(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 
 
-@query("a2_entity_scores", f"{_SCORES} SELECT s1_id, tp, n_pred, n_true, round(f, 6) AS f, round(precision, 6) AS precision, round(recall, 6) AS recall FROM sc")
-def a2_entity_scores(spark, sf_dir):
-    rows = metrics.entity_scores(_kept(spark, sf_dir), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir))
+@pair_query("a2_entity_scores", f"{_SCORES} SELECT s1_id, tp, n_pred, n_true, round(f, 6) AS f, round(precision, 6) AS precision, round(recall, 6) AS recall FROM sc")
+def a2_entity_scores(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.entity_scores(_kept(spark, sf_dir, pairs_of), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir))
     return rows.select("s1_id", "tp", "n_pred", "n_true", _r("f"), _r("precision"), _r("recall"))
 
 
-@query("a4_eval_headline", f"""{_SCORES} SELECT round(avg(f), 6) AS macro_f, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall,
+@pair_query("a4_eval_headline", f"""{_SCORES} SELECT round(avg(f), 6) AS macro_f, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall,
   round(CAST(sum(tp) AS DOUBLE) / greatest(sum(n_pred), 1), 6) AS pair_precision, round(CAST(sum(tp) AS DOUBLE) / greatest(sum(n_true), 1), 6) AS pair_recall,
   round(avg(CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END), 6) AS singleton_share, round(avg(CASE WHEN n_true = 0 THEN CASE WHEN n_pred = 0 THEN 1.0 ELSE 0.0 END END), 6) AS singleton_accuracy,
   round(avg(CASE WHEN n_true > 0 THEN f END), 6) AS f_non_singletons, round(avg(CASE WHEN n_true > 0 THEN CASE WHEN n_pred = 0 THEN 1.0 ELSE 0.0 END END), 6) AS non_singletons_empty FROM sc""")
-def a4_eval_headline(spark, sf_dir):
-    rows = metrics.headline(metrics.entity_scores(_kept(spark, sf_dir), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)))
+def a4_eval_headline(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.headline(metrics.entity_scores(_kept(spark, sf_dir, pairs_of), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)))
     return rows.select(*[_r(c) for c in rows.columns])
 
 
-@query("a5_by_cardinality", f"{_SCORES} SELECT CASE WHEN n_true >= 3 THEN '3+' ELSE CAST(n_true AS VARCHAR) END AS bucket, count(*) AS entities, round(avg(f), 6) AS macro_f, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM sc GROUP BY 1")
-def a5_by_cardinality(spark, sf_dir):
-    rows = metrics.by_cardinality(metrics.entity_scores(_kept(spark, sf_dir), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)))
+@pair_query("a5_by_cardinality", f"{_SCORES} SELECT CASE WHEN n_true >= 3 THEN '3+' ELSE CAST(n_true AS VARCHAR) END AS bucket, count(*) AS entities, round(avg(f), 6) AS macro_f, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM sc GROUP BY 1")
+def a5_by_cardinality(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.by_cardinality(metrics.entity_scores(_kept(spark, sf_dir, pairs_of), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)))
     return rows.select("bucket", "entities", _r("macro_f"), _r("precision"), _r("recall"))
 
 
-@query("a6_by_country", f"{_SCORES} SELECT country, count(*) AS entities, round(avg(f), 6) AS macro_f, round(avg(CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END), 6) AS singleton_share, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM sc GROUP BY country")
-def a6_by_country(spark, sf_dir):
-    rows = metrics.by_country(metrics.entity_scores(_kept(spark, sf_dir), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)), fixtures.countries(spark, sf_dir))
+@pair_query("a6_by_country", f"{_SCORES} SELECT country, count(*) AS entities, round(avg(f), 6) AS macro_f, round(avg(CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END), 6) AS singleton_share, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM sc GROUP BY country")
+def a6_by_country(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.by_country(metrics.entity_scores(_kept(spark, sf_dir, pairs_of), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)), fixtures.countries(spark, sf_dir))
     return rows.select("country", "entities", _r("macro_f"), _r("singleton_share"), _r("precision"), _r("recall"))
 
 
@@ -517,28 +540,28 @@ def _one_source(source: str) -> str:
     return f"{_LABELLED}{own} SELECT '{source}' AS target_source, round(avg(f), 6) AS macro_f, round(CAST(sum(tp) AS DOUBLE) / greatest(sum(n_pred), 1), 6) AS pair_precision, round(CAST(sum(tp) AS DOUBLE) / greatest(sum(n_true), 1), 6) AS pair_recall FROM sc"
 
 
-@query("a7_by_source", f"SELECT * FROM ({_one_source('S2')}) UNION ALL SELECT * FROM ({_one_source('S3')})")
-def a7_by_source(spark, sf_dir):
-    rows = metrics.by_source(stored(_kept(spark, sf_dir), "kept"), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir))
+@pair_query("a7_by_source", f"SELECT * FROM ({_one_source('S2')}) UNION ALL SELECT * FROM ({_one_source('S3')})")
+def a7_by_source(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.by_source(stored(_kept(spark, sf_dir, pairs_of), "kept"), fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir))
     return rows.select("target_source", _r("macro_f"), _r("pair_precision"), _r("pair_recall"))
 
 
-@query("a8_blocking_headline", f"""{_PAIRS}, per AS (SELECT s.s1_id, coalesce(n, 0) AS n FROM spine s LEFT JOIN (SELECT s1_id, count(*) AS n FROM scored GROUP BY s1_id) c ON s.s1_id = c.s1_id
+@pair_query("a8_blocking_headline", f"""{_PAIRS}, per AS (SELECT s.s1_id, coalesce(n, 0) AS n FROM spine s LEFT JOIN (SELECT s1_id, count(*) AS n FROM scored GROUP BY s1_id) c ON s.s1_id = c.s1_id
 ), f AS (SELECT t.s1_id, CASE WHEN p.s1_id IS NULL THEN 0.0 ELSE 1.0 END AS found FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id
 ), u AS (SELECT s.s1_id, CASE WHEN n IS NULL THEN 1.0 ELSE 1.25 * k / (0.25 * n + k + CASE WHEN k = 0 THEN 1e-300 ELSE 0 END) END AS up FROM spine s LEFT JOIN (SELECT s1_id, count(*) AS n, sum(found) AS k FROM f GROUP BY s1_id) x ON s.s1_id = x.s1_id)
 SELECT CAST((SELECT sum(n) FROM per) AS BIGINT) AS candidate_pairs, round((SELECT avg(n) FROM per), 6) AS per_s1_mean, round((SELECT quantile_cont(n, 0.95) FROM per), 6) AS per_s1_p95, CAST((SELECT max(n) FROM per) AS BIGINT) AS per_s1_max,
   (SELECT count(*) FROM per WHERE n = 0) AS s1_without, round(1 - CAST((SELECT sum(n) FROM per) AS DOUBLE) / ((SELECT count(*) FROM spine) * (SELECT count(*) FROM docs WHERE source <> 'S1')), 6) AS reduction_ratio,
   round((SELECT avg(found) FROM f), 6) AS pair_recall, round((SELECT avg(a) FROM (SELECT min(found) AS a FROM f GROUP BY s1_id)), 6) AS s1_all_retrieved, round((SELECT avg(up) FROM u), 6) AS macro_f_upper_bound""")
-def a8_blocking_headline(spark, sf_dir):
-    pairs, records = stored(scored_pairs(spark, sf_dir), "pairs"), fixtures.records(spark, sf_dir)
+def a8_blocking_headline(spark, sf_dir, pairs_of=scored_pairs):
+    pairs, records = stored(pairs_of(spark, sf_dir), "pairs"), fixtures.records(spark, sf_dir)
     rows = metrics.blocking_headline(pairs, fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir), records.where("source <> 'S1'").count())
     whole = ("candidate_pairs", "per_s1_max", "s1_without")
     return rows.select(*[F.col(c).cast("long").alias(c) if c in whole else F.round(F.col(c).cast("double"), 6).alias(c) for c in rows.columns])
 
 
-@query("a9_recall_by_source", f"{_PAIRS} SELECT substr(t.t_id, 1, 2) AS src, count(*) AS true_pairs, round(avg(CASE WHEN p.s1_id IS NULL THEN 0.0 ELSE 1.0 END), 6) AS recall FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id GROUP BY 1")
-def a9_recall_by_source(spark, sf_dir):
-    return metrics.recall_by(scored_pairs(spark, sf_dir), fixtures.truth(spark, sf_dir)).select("src", "true_pairs", _r("recall"))
+@pair_query("a9_recall_by_source", f"{_PAIRS} SELECT substr(t.t_id, 1, 2) AS src, count(*) AS true_pairs, round(avg(CASE WHEN p.s1_id IS NULL THEN 0.0 ELSE 1.0 END), 6) AS recall FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id GROUP BY 1")
+def a9_recall_by_source(spark, sf_dir, pairs_of=scored_pairs):
+    return metrics.recall_by(pairs_of(spark, sf_dir), fixtures.truth(spark, sf_dir)).select("src", "true_pairs", _r("recall"))
 
 
 _BLOCKER_ROWS = " UNION ALL ".join(
@@ -546,10 +569,10 @@ _BLOCKER_ROWS = " UNION ALL ".join(
     for b in blocking.BLOCKERS)
 
 
-@query("a10_by_blocker", f"""{_PAIRS}, f AS (SELECT coalesce(CAST(p.bits AS INTEGER), 0) AS b FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id), n AS (SELECT greatest(count(*), 1) AS n FROM f)
+@pair_query("a10_by_blocker", f"""{_PAIRS}, f AS (SELECT coalesce(CAST(p.bits AS INTEGER), 0) AS b FROM (SELECT DISTINCT * FROM truth) t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id), n AS (SELECT greatest(count(*), 1) AS n FROM f)
 SELECT blocker, round(CAST(alone AS DOUBLE) / n, 6) AS recall_alone, round(CAST(cumulative AS DOUBLE) / n, 6) AS cumulative_recall, only_here, pairs_flagged FROM ({_BLOCKER_ROWS}) CROSS JOIN n""")
-def a10_by_blocker(spark, sf_dir):
-    rows = metrics.by_blocker(stored(scored_pairs(spark, sf_dir), "pairs"), fixtures.truth(spark, sf_dir))
+def a10_by_blocker(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.by_blocker(stored(pairs_of(spark, sf_dir), "pairs"), fixtures.truth(spark, sf_dir))
     return rows.select("blocker", _r("recall_alone"), _r("cumulative_recall"), "only_here", "pairs_flagged")
 
 
@@ -607,30 +630,30 @@ def a18_similarity_profile(spark, sf_dir):
     return explore.similarity_profile(views, fixtures.truth(spark, sf_dir), *blocking.char_vectors(views, CONFIG))
 
 
-@query("a19_reliability", f"{_LABELLED} SELECT CAST(least(floor(p * 10), 9) AS BIGINT) AS bin, round(avg(p), 6) AS mean_p, round(avg(y), 6) AS mean_y, count(*) AS n FROM lab GROUP BY 1 HAVING count(*) >= 20")
-def a19_reliability(spark, sf_dir):
-    return metrics.reliability(_labelled(spark, sf_dir)).select(F.col("bin").cast("long").alias("bin"), _r("mean_p"), _r("mean_y"), "n")
+@pair_query("a19_reliability", f"{_LABELLED} SELECT CAST(least(floor(p * 10), 9) AS BIGINT) AS bin, round(avg(p), 6) AS mean_p, round(avg(y), 6) AS mean_y, count(*) AS n FROM lab GROUP BY 1 HAVING count(*) >= 20")
+def a19_reliability(spark, sf_dir, pairs_of=scored_pairs):
+    return metrics.reliability(_labelled(spark, sf_dir, pairs_of)).select(F.col("bin").cast("long").alias("bin"), _r("mean_p"), _r("mean_y"), "n")
 
 
-@query("a20_survival", f"{_LABELLED}, b AS (SELECT src, s1_id, max(p) AS p FROM lab GROUP BY src, s1_id), g AS (SELECT unnest([0.25, 0.5, 0.75]) AS point) SELECT src, CAST(point AS DOUBLE) AS point, round(avg(CASE WHEN p >= point THEN 1.0 ELSE 0.0 END), 6) AS share FROM b CROSS JOIN g GROUP BY src, point")
-def a20_survival(spark, sf_dir):
-    return metrics.survival(_labelled(spark, sf_dir), "src", [0.25, 0.5, 0.75]).select("src", "point", _r("share"))
+@pair_query("a20_survival", f"{_LABELLED}, b AS (SELECT src, s1_id, max(p) AS p FROM lab GROUP BY src, s1_id), g AS (SELECT unnest([0.25, 0.5, 0.75]) AS point) SELECT src, CAST(point AS DOUBLE) AS point, round(avg(CASE WHEN p >= point THEN 1.0 ELSE 0.0 END), 6) AS share FROM b CROSS JOIN g GROUP BY src, point")
+def a20_survival(spark, sf_dir, pairs_of=scored_pairs):
+    return metrics.survival(_labelled(spark, sf_dir, pairs_of), "src", [0.25, 0.5, 0.75]).select("src", "point", _r("share"))
 
 
-@query("a22_prediction_sanity", f"""{_LABELLED}, k AS ({_KEPT}), c AS (SELECT s.country, s.s1_id, count(k.t_id) AS n, count(CASE WHEN k.t_id LIKE 'S2-%' THEN 1 END) AS n2, count(CASE WHEN k.t_id LIKE 'S3-%' THEN 1 END) AS n3 FROM spine s LEFT JOIN k ON s.s1_id = k.s1_id GROUP BY s.country, s.s1_id)
+@pair_query("a22_prediction_sanity", f"""{_LABELLED}, k AS ({_KEPT}), c AS (SELECT s.country, s.s1_id, count(k.t_id) AS n, count(CASE WHEN k.t_id LIKE 'S2-%' THEN 1 END) AS n2, count(CASE WHEN k.t_id LIKE 'S3-%' THEN 1 END) AS n3 FROM spine s LEFT JOIN k ON s.s1_id = k.s1_id GROUP BY s.country, s.s1_id)
 SELECT country, count(*) AS entities, round(avg(CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END), 6) AS with_match, round(avg(n), 6) AS mean_matches, round(avg(n2), 6) AS mean_s2, round(avg(n3), 6) AS mean_s3 FROM c GROUP BY country""")
-def a22_prediction_sanity(spark, sf_dir):
-    rows = metrics.prediction_sanity(_kept(spark, sf_dir), fixtures.spine(spark, sf_dir), fixtures.countries(spark, sf_dir))
+def a22_prediction_sanity(spark, sf_dir, pairs_of=scored_pairs):
+    rows = metrics.prediction_sanity(_kept(spark, sf_dir, pairs_of), fixtures.spine(spark, sf_dir), fixtures.countries(spark, sf_dir))
     return rows.select("country", "entities", *[_r(c) for c in ("with_match", "mean_matches", "mean_s2", "mean_s3")])
 
 
-@query("a24_ranking_metrics", f"""{_LABELLED}, g AS (SELECT p, sum(y) AS pos, count(*) AS n FROM lab GROUP BY p), c AS (SELECT p, pos, n, sum(pos) OVER w AS tp, sum(n) OVER w AS seen FROM g WINDOW w AS (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+@pair_query("a24_ranking_metrics", f"""{_LABELLED}, g AS (SELECT p, sum(y) AS pos, count(*) AS n FROM lab GROUP BY p), c AS (SELECT p, pos, n, sum(pos) OVER w AS tp, sum(n) OVER w AS seen FROM g WINDOW w AS (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT round(sum((n - pos) * (tp - pos) + (n - pos) * pos / 2.0) / (sum(pos) * sum(n - pos)), 6) AS auc, round(sum(pos * CAST(tp AS DOUBLE) / seen) / sum(pos), 6) AS average_precision FROM c""")
-def a24_ranking_metrics(spark, sf_dir):
-    return metrics.ranking_metrics(_labelled(spark, sf_dir)).select(_r("auc"), _r("average_precision"))
+def a24_ranking_metrics(spark, sf_dir, pairs_of=scored_pairs):
+    return metrics.ranking_metrics(_labelled(spark, sf_dir, pairs_of)).select(_r("auc"), _r("average_precision"))
 
 
 @query("s10_top_errors")
 def s10_top_errors(spark, sf_dir):
-    scored = stored(_labelled(spark, sf_dir), "scored")
+    scored = stored(_labelled(spark, sf_dir, candidate_pairs), "scored")
     return explore.errors(scored, decision.apply_policy(scored, decision.Policy(threshold=_THRESHOLD)), fixtures.records(spark, sf_dir))["false_positives"]

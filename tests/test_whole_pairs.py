@@ -1,0 +1,19 @@
+"""Queries over pairs see what all seven blockers find."""
+
+from kithlink.operators import blocking
+from kithlink.plans import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_blockers_are_flagged(spark):
+    rows = {r["blocker"]: r["pairs_flagged"] for r in queries.QUERIES["a10_by_blocker_whole"](spark, SF).collect()}
+    assert all(rows[b] > 0 for b in ("b_name", "b_addr", "b_comb", "b_rare", "b_key", "b_postal"))
+    bits = {r["bits"] for r in queries.QUERIES["j8_union_bits_whole"](spark, SF).select("bits").distinct().collect()}
+    assert all(any(b & blocking.BIT[n] for b in bits) for n in ("b_name", "b_addr", "b_comb", "b_postal"))
+
+
+def test_queries_without_sql_use_all_candidates(spark):
+    pairs = {(r["s1_id"], r["t_id"]) for r in queries.candidate_pairs(spark, SF).collect()}
+    ratios = {(r["s1_id"], r["t_id"]) for r in queries.QUERIES["f6_f9_ratios"](spark, SF).collect()}
+    assert ratios == pairs
