@@ -10,7 +10,9 @@ nothing is retrieved. These sums are taken for all passages of a text at once, b
 the different words of each half passage; most passages end there. The others go through the postings: block
 maxima skip blocks that can't reach the threshold, and all parts above it are retrieved. Each retrieved part is verified: word five-grams of the item's question (all but its last fifth, unless
 the table has its own columns question and answer) and of its answer must occur in the passage. An item counts for a document if
-at least ``OVERLAP`` of its question's and of its answer's five-grams, over all its parts, were found.
+at least ``OVERLAP`` of its question's and of its answer's five-grams, over all its parts, were found. Where the table has no such
+columns, the share is judged over question and answer together, and an item of ``2 * GRAM`` words or more also counts if one word
+changed, added or left out explains all that is missing.
 
 The index is broadcast in slices of at most ``SLICE_WORDS`` words of items, one pass over the documents a slice,
 so its size is bounded however large the benchmark is. Words are lower-cased runs of letters, digits and
@@ -59,9 +61,11 @@ def _grams(found: list[str], size: int = GRAM) -> set[tuple[str, ...]]:
 class Index:
     """The postings of some items: by term, the parts that hold it, their impacts, and the impacts' maxima by block."""
 
-    def __init__(self, items: list[tuple[int, str, str]]):
-        """``items``: id, question and answer."""
-        self.items: list[int] = []
+    def __init__(self, items: list[tuple[int | None, str, str]], apart: bool = True):
+        """``items``: id, question and answer; ``apart``: whether these are judged each for itself."""
+        self.apart = apart
+        self.items: list[int | None] = []
+        self.whole: list[tuple[int, int, list[str]]] = []  # item's first part, length of its question, its words
         self.parts: list[tuple[int, set, set]] = []  # item's position, question's and answer's grams
         self.total: dict[int, tuple[int, int]] = {}
         texts: list[list[str]] = []
@@ -72,6 +76,7 @@ class Index:
                 continue
             at = len(self.items)
             self.items.append(item)
+            self.whole.append((len(self.parts), len(q), whole))
             sums = [0, 0]
             for s in range(0, len(whole), PART):
                 part = whole[s : s + PART]
@@ -181,17 +186,40 @@ class Index:
             passage = {z: _grams(found[s:e], z) for z in sizes}
             for p, score in retrieved:
                 at, *sides = self.parts[p]
-                own = hits.setdefault(at, [0.0, [set(), set()]])
+                own = hits.setdefault(at, [0.0, [set(), set()], set()])
                 own[0] = max(own[0], score)
+                own[2].update(found[s:e])
                 for side, grams in zip(own[1], sides, strict=True):
                     side |= {(p, g) for g in grams if g in passage[len(g)]}
         out = []
-        for at, (score, sides) in sorted(hits.items()):
+        for at, (score, sides, seen) in sorted(hits.items()):
             shares = [len(s) / t if t else 1.0 for s, t in zip(sides, self.total[at], strict=True)]
-            if min(shares) >= overlap:
+            if self.apart:
+                counts = min(shares) >= overlap
+            else:
+                counts = sum(map(len, sides)) >= overlap * sum(self.total[at]) or self.edited_once(at, sides, seen)
+            if counts:
                 out.append((self.items[at], min(score, 1.0), *shares))
         return out
 
+    def edited_once(self, at: int, sides: list[set], seen: set[str]) -> bool:
+        """Whether the missing five-grams all meet at one word, and of the words outside of the found ones at most one isn't in the passages."""
+        first, question, whole = self.whole[at]
+        if len(whole) < 2 * GRAM:
+            return False
+        missing, open_words = [], set(range(len(whole)))
+        for p, s in enumerate(range(0, len(whole), PART), first):
+            e = min(s + PART, len(whole))
+            cut = min(max(question, s), e)
+            for side, (a, b) in zip(sides, ((s, cut), (cut, e)), strict=True):
+                size = min(GRAM, b - a)
+                for i in range(a, b - size + 1) if size else ():
+                    if (p, tuple(whole[i : i + size])) in side:
+                        open_words.difference_update(range(i, i + size))
+                    else:
+                        missing.append(i)
+        return max(missing) - min(missing) < GRAM and 2 * len(open_words) <= len(whole) and sum(whole[i] not in seen for i in open_words) <= 1
+
 
 def split_item(text: str) -> tuple[str, str]:
     """Question and answer of an item that has one text: its last fifth, at least a word, is the answer."""
@@ -210,10 +238,10 @@ def indexes(benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> Iterator[In
         held.append((row["item_id"], question, answer))
         size += len(words(question)) + len(words(answer))
         if size >= slice_words:
-            yield Index(held)
+            yield Index(held, own)
             held, size = [], 0
     if held:
-        yield Index(held)
+        yield Index(held, own)
 
 
 def _find(batches, index):
