@@ -17,7 +17,7 @@ changed, added or left out explains all that is missing.
 The index is broadcast in slices of at most ``SLICE_WORDS`` words of items, one pass over the documents a slice,
 so its size is bounded however large the benchmark is. Words are lower-cased runs of letters, digits and
 underscores. Null texts, and items without a word, match nothing; items shorter than five words are compared
-whole. Rows are judged each for itself, whatever their ids.
+whole. Rows are judged each for itself, whatever their ids; items without an id count like others and are reported with a null item_id.
 """
 
 from __future__ import annotations
@@ -231,7 +231,8 @@ def split_item(text: str) -> tuple[str, str]:
 def indexes(benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> Iterator[Index]:
     """Indexes of the items in the order of their ids, each of a bounded number of words (one item may exceed it)."""
     own = {"question", "answer"} <= set(benchmark.columns)
-    rows = benchmark.select("item_id", *(["question", "answer"] if own else ["text"])).where("item_id is not null").orderBy("item_id")
+    columns = ["item_id", *(["question", "answer"] if own else ["text"])]
+    rows = benchmark.select(*columns).orderBy(*columns)
     held, size = [], 0
     for row in rows.toLocalIterator():
         question, answer = (row["question"] or "", row["answer"] or "") if own else split_item(row["text"] or "")
