@@ -1,6 +1,6 @@
 """One query for each group of operators over the fixture tables, and the same in SQL where SQL can express it.
 
-Records come from ``sources.fixtures``. Queries about text use the full normaliser; the others use plain views, which
+Records come from ``sources.fixtures``. Queries without SQL use the full normaliser; the others use plain views, which
 SQL can build too, so that joins, scores and reports are held against SQL from end to end.
 """
 
@@ -177,6 +177,16 @@ def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.generate_candidates(_views(spark, sf_dir), CONFIG)
 
 
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by the full normaliser, for queries without SQL."""
+    return stored(normalize.normalize_records(fixtures.records(spark, sf_dir)), "normalized")
+
+
+def linked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates of normalised records."""
+    return blocking.generate_candidates(_normalized(spark, sf_dir), CONFIG)
+
+
 def _labelled(spark: SparkSession, sf_dir: str, pairs_of: Query) -> DataFrame:
     pairs = pairs_of(spark, sf_dir)
     true = fixtures.truth(spark, sf_dir).withColumn("y", F.lit(1))
@@ -338,6 +348,11 @@ def j10_candidates(spark, sf_dir):
     return blocking.generate_candidates(_views(spark, sf_dir), CONFIG).select("s1_id", "t_id", "src", F.col("bits").cast("long").alias("bits"), _r("cheap"))
 
 
+@query("j10_normalized_candidates")
+def j10_normalized_candidates(spark, sf_dir):
+    return linked_pairs(spark, sf_dir).select("s1_id", "t_id", "src", F.col("bits").cast("long").alias("bits"), _r("cheap"))
+
+
 @pair_query("j14_missed", f"{_PAIRS} SELECT DISTINCT t.s1_id, t.t_id, substr(t.t_id, 1, 2) AS src FROM truth t LEFT JOIN scored p ON t.s1_id = p.s1_id AND t.t_id = p.t_id WHERE p.s1_id IS NULL")
 def j14_missed(spark, sf_dir, pairs_of=scored_pairs):
     return metrics.missed_pairs(pairs_of(spark, sf_dir), fixtures.truth(spark, sf_dir))
@@ -397,7 +412,9 @@ def f4_idf_overlap(spark, sf_dir, pairs_of=scored_pairs):
 @query("f6_f9_ratios")
 def f6_ratios(spark, sf_dir):
     scores = similarity.scores(F.col("name_core1"), F.col("name_core2"), "ratio", "partial", "token_sort", "token_set")
-    return _with_views(spark, sf_dir, candidate_pairs).select("s1_id", "t_id", scores.alias("x")).select("s1_id", "t_id", "x.*")
+    views = _normalized(spark, sf_dir)
+    pairs = blocking.generate_candidates(views, CONFIG).select("s1_id", "t_id").join(features._views(views, "1"), "s1_id").join(features._views(views, "2"), "t_id")
+    return pairs.select("s1_id", "t_id", scores.alias("x")).select("s1_id", "t_id", "x.*")
 
 
 @pair_query("f10_jaro_winkler", f"{_PAIRS} SELECT s1_id, t_id, round(jaro_winkler_similarity(array_to_string(x.n, ' '), array_to_string(y.n, ' ')), 6) AS score FROM scored p JOIN v x ON p.s1_id = x.entity_id JOIN v y ON p.t_id = y.entity_id")
@@ -408,7 +425,7 @@ def f10_jaro_winkler(spark, sf_dir, pairs_of=scored_pairs):
 
 @query("f1_f28_features")
 def f_features(spark, sf_dir):
-    views = _views(spark, sf_dir)
+    views = _normalized(spark, sf_dir)
     return features.build_features(views, stored(blocking.generate_candidates(views, CONFIG), "candidates"))
 
 
@@ -464,7 +481,7 @@ def d2_source_threshold(spark, sf_dir, pairs_of=scored_pairs):
 
 @query("d3_expected_f")
 def d3_expected_f(spark, sf_dir):
-    return decision.apply_policy(_labelled(spark, sf_dir, candidate_pairs), decision.Policy("expected_f", True, gamma=1.25)).select("s1_id", "t_id")
+    return decision.apply_policy(_labelled(spark, sf_dir, linked_pairs), decision.Policy("expected_f", True, gamma=1.25)).select("s1_id", "t_id")
 
 
 @pair_query("d5_threshold_grid", f"""{_LABELLED}, grid AS (SELECT 0.1 * unnest(range(1, 10)) AS t), c AS (SELECT s1_id, t, count(*) AS n_pred, sum(y) AS tp FROM lab JOIN grid ON p >= t - 1e-12 GROUP BY s1_id, t
@@ -487,7 +504,7 @@ def d5_threshold_grid(spark, sf_dir, pairs_of=scored_pairs):
 def d6_tune_policy(spark, sf_dir):
     truth, spine = fixtures.truth(spark, sf_dir), fixtures.spine(spark, sf_dir)
     folds = stored(graph.make_folds(truth, spine, fixtures.countries(spark, sf_dir)), "folds")
-    _, table, _ = decision.tune_policy(stored(_labelled(spark, sf_dir, candidate_pairs), "scored"), truth, folds)
+    _, table, _ = decision.tune_policy(stored(_labelled(spark, sf_dir, linked_pairs), "scored"), truth, folds)
     return spark.createDataFrame(table)
 
 
@@ -626,7 +643,7 @@ def a17_completeness(spark, sf_dir):
 
 @query("a18_similarity_profile")
 def a18_similarity_profile(spark, sf_dir):
-    views = _views(spark, sf_dir)
+    views = _normalized(spark, sf_dir)
     return explore.similarity_profile(views, fixtures.truth(spark, sf_dir), *blocking.char_vectors(views, CONFIG))
 
 
@@ -655,5 +672,5 @@ def a24_ranking_metrics(spark, sf_dir, pairs_of=scored_pairs):
 
 @query("s10_top_errors")
 def s10_top_errors(spark, sf_dir):
-    scored = stored(_labelled(spark, sf_dir, candidate_pairs), "scored")
+    scored = stored(_labelled(spark, sf_dir, linked_pairs), "scored")
     return explore.errors(scored, decision.apply_policy(scored, decision.Policy(threshold=_THRESHOLD)), fixtures.records(spark, sf_dir))["false_positives"]

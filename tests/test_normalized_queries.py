@@ -1,0 +1,15 @@
+"""The feature table is built from fully normalised records, names in other scripts included."""
+
+from pyspark.sql import functions as F
+
+from kithlink.plans import queries
+
+
+def test_features_use_the_normaliser(spark, tmp_path):
+    names = ["Sharma Spice and Traders Private Limited", "Шарма торговый дом Пуна города большого"]
+    place = "opposite city mall near main road number twelve Pune center"
+    rows = [(i, f"{names[i // 3 % 2]} {place} {i}", "en", "s0", 0) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["f1_f28_features"](spark, str(tmp_path)).agg(
+        F.sum(F.col("legal_form_jacc").isNotNull().cast("int")).alias("legal"), F.max("landmark_s1").alias("landmark"), F.max("name_missing_s1").alias("missing")).first()
+    assert got["legal"] > 0 and got["landmark"] == 1 and got["missing"] == 0

@@ -14,6 +14,6 @@ def test_all_blockers_are_flagged(spark):
 
 
 def test_queries_without_sql_use_all_candidates(spark):
-    pairs = {(r["s1_id"], r["t_id"]) for r in queries.candidate_pairs(spark, SF).collect()}
+    pairs = {(r["s1_id"], r["t_id"]) for r in queries.linked_pairs(spark, SF).collect()}
     ratios = {(r["s1_id"], r["t_id"]) for r in queries.QUERIES["f6_f9_ratios"](spark, SF).collect()}
     assert ratios == pairs
