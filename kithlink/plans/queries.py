@@ -245,12 +245,12 @@ def t6_skeleton(spark, sf_dir):
 
 @query("t9_t13_normalize_records")
 def t9_normalize(spark, sf_dir):
-    return normalize.normalize_records(fixtures.records(spark, sf_dir))
+    return normalize.normalize_records(fixtures.records(spark, sf_dir, whole=True))
 
 
 @query("t14_examples")
 def t14_examples(spark, sf_dir):
-    return normalize.examples(fixtures.records(spark, sf_dir))
+    return normalize.examples(fixtures.records(spark, sf_dir, whole=True))
 
 
 @query("t15_id_lists", f"WITH {_RECORDS} SELECT s.s1_id, coalesce(string_agg(t.t_id, ',' ORDER BY substr(t.t_id, 1, 3), len(t.t_id), t.t_id), '') AS ids FROM spine s LEFT JOIN (SELECT DISTINCT * FROM truth) t ON s.s1_id = t.s1_id GROUP BY s.s1_id")
@@ -638,7 +638,7 @@ def a16_country_consistency(spark, sf_dir):
 
 @query("a17_completeness")
 def a17_completeness(spark, sf_dir):
-    return explore.completeness(normalize.normalize_records(fixtures.records(spark, sf_dir)))
+    return explore.completeness(normalize.normalize_records(fixtures.records(spark, sf_dir, whole=True)))
 
 
 @query("a18_similarity_profile")

@@ -2,6 +2,7 @@
 
 A document is a record of source 1 + doc_id % 3: the first 6 words of its text are the name, the next 10 the address,
 its lang the country; records with equal texts match. This is a mapping of fields; every document is a record.
+With ``whole`` the address is all the rest of the text; the SQL of the registered queries stops at the 16th word.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from ..session import importable
 ENTITY = "concat('S', cast(1 + doc_id % 3 as string), '-', cast(doc_id as string))"
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """entity_id, business_name, business_address, country and source."""
     docs = importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     words = F.filter(F.split("text", r"[ \t\n\r\f\x0b]+"), lambda w: w != "")
     return docs.select(
         F.expr(ENTITY).alias("entity_id"), F.array_join(F.slice(words, 1, 6), " ").alias("business_name"),
-        F.array_join(F.slice(words, 7, 10), " ").alias("business_address"), F.col("lang").alias("country"), F.expr("concat('S', cast(1 + doc_id % 3 as string))").alias("source"))
+        F.array_join(F.slice(words, 7, 2**31 - 1 if whole else 10), " ").alias("business_address"), F.col("lang").alias("country"), F.expr("concat('S', cast(1 + doc_id % 3 as string))").alias("source"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,13 @@
+"""Normalised records keep the words after the sixteenth."""
+
+from kithlink.plans import queries
+
+
+def test_long_texts_differ(spark, tmp_path):
+    start = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30))
+    rows = [(0, f"{start} alpha", "en", "s0", 0), (1, f"{start} beta", "en", "s0", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("t9_t13_normalize_records", "t14_examples"):
+        ends = {r["addr_core"].split()[-1] for r in queries.QUERIES[name](spark, str(tmp_path)).collect()}
+        assert ends == {"alpha", "beta"}
+    assert {r["addr_tokens"] for r in queries.QUERIES["a17_completeness"](spark, str(tmp_path)).collect()} == {25.0}
