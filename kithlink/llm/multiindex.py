@@ -1,28 +1,33 @@
 """Nearest neighbours by largest inner product with an inverted multi-index.
 
-The two halves of the vectors are quantised separately, with ``CENTROIDS`` centroids each, learned by k-means from
-a sample of at most ``SAMPLE`` different vectors (the first by a hash of their ids). Every vector is an entry of
-the cell of its two nearest centroids. A query walks the centroid pairs in the order of summed distance with a
-heap, until the cells it has seen hold ``SHARE`` of all different vectors, ``LEAST`` at least; their entries are
-reranked by their exact inner product with the query, in double precision.
-
-Cells are grouped by their first centroid. A group's entries and the queries that visit it are both dealt into
-blocks of bounded size by a hash, and each pair of blocks is one matrix product, so no group of entries (such as a
-vector that many rows repeat) and no number of queries makes a large task. Of each pair of blocks a query takes
-its best entries along; ties to the smaller id. Distances, centroids and cell counts are of fixed size and are
-broadcast.
-
-Vectors that are null, zero, hold null or non-finite components, or have another length than most of the sample,
-take no part, neither as queries nor as candidates; nor do rows without an id. Of rows with the same id and the
-same vector one takes part; with different vectors each does, and none is a neighbour of its own id. Fewer
-candidates than asked for give fewer rows; an empty table gives an empty result.
+The two halves of the vectors are quantised separately, each with centroids learned by k-means from a sample of at
+most ``SAMPLE`` different vectors (the first by a hash of their ids). The number of centroids grows with the square
+root of the number of vectors, ``PER_ROOT`` times it, up to ``MOST_CENTROIDS``. Every vector is an entry of the cell
+of its two nearest centroids. A query ranks cells by summed distance, the distance of a half to a centroid being
+their inner product with its sign turned, so that it is the ranking's own measure whatever the vectors' lengths. A
+heap that holds the next cell of each first centroid gives the cells in this order; cells without entries are
+passed over. It stops at the cell with which ``SHARE`` of all different vectors are seen, at every size of table (and
+one vector more than neighbours are asked for, so that so many can be found where there are so many).
+The entries of the cells seen are reranked by their exact inner product with the query, in double precision.
+
+First centroids are dealt into ``GROUPS`` groups, and a query goes only to those that it saw a cell of. A group's
+entries and its queries are both dealt into blocks of bounded size by a hash, and each pair of blocks is one matrix
+product, so no group of entries (such as a vector that many rows repeat) and no number of queries makes a large
+task. Of each pair of blocks a query takes its best entries along; ties to the smaller id. What the driver gathers
+and broadcasts is the codebooks and one count a cell, both bounded by ``MOST_CENTROIDS``.
+
+Vectors that are null, zero or hold null or non-finite components take no part, neither as queries nor as
+candidates; nor do rows without an id. Vectors of different lengths have no inner product: each length is searched
+by itself. Of rows with the same id and the same vector one takes part; with different vectors each does, its
+queries' neighbours are ranked together, and none is a neighbour of its own id. Fewer candidates than asked for give
+fewer rows; an empty table gives an empty result. Columns other than vec_id and embedding are not read.
 """
 
 from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -33,17 +38,18 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 NEIGHBOURS = 20
-CENTROIDS = 64
-SAMPLE = 8192
-#: The cells that are reranked for a query hold at least this share of the different vectors. With 64-dimensional
-#: vectors that form no tight clusters, fewer miss a recall of 0.9.
-SHARE = 0.5
-#: And at least so many, so that small tables are searched whole.
-LEAST = 2000
-ENTRY_BLOCK = 4096
-QUERY_BLOCK = 2048
+PER_ROOT = 8
+MOST_CENTROIDS = 512
+SAMPLE = 16384
+#: The cells that are reranked for a query hold this share of the different vectors. With 64-dimensional vectors that
+#: form no tight clusters, fewer come near a recall of 0.9 (the README has the curve).
+SHARE = 0.25
+ENTRY_BLOCK = 8192
+QUERY_BLOCK = 4096
 #: Groups of first centroids that are searched together.
 GROUPS = 16
+#: Cells as far as the last one seen count as seen, whatever the order in which a product was summed.
+SLACK = 1e-9
 
 
 @dataclass
@@ -55,12 +61,25 @@ class Codebooks:
     def cut(self) -> int:
         return self.first.shape[1]
 
-    def distances(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances of both halves to their centroids."""
+    @property
+    def width(self) -> int:
+        return self.cut + self.second.shape[1]
+
+    def cells(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest centroid of either half."""
         return tuple(
-            np.maximum((h * h).sum(1)[:, None] - 2 * h @ c.T + (c * c).sum(1)[None, :], 0)
+            ((c * c).sum(1)[None, :] - 2 * h @ c.T).argmin(1).astype(np.int32)
             for h, c in ((vectors[:, : self.cut], self.first), (vectors[:, self.cut :], self.second)))
 
+    def distances(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of both halves to their centroids: the inner product, its sign turned."""
+        return -(vectors[:, : self.cut] @ self.first.T), -(vectors[:, self.cut :] @ self.second.T)
+
+
+def centroids_for(n: int) -> int:
+    """The number of centroids of either half for n vectors, a power of two."""
+    return min(MOST_CENTROIDS, 1 << max(0, int(np.ceil(np.log2(PER_ROOT * np.sqrt(max(n, 1)))))))
+
 
 def k_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 11) -> np.ndarray:
     """At most k centroids."""
@@ -71,40 +90,41 @@ def k_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 11) -> np.
     for _ in range(rounds):
         near = ((centroids * centroids).sum(1)[None, :] - 2 * points @ centroids.T).argmin(1)
         count = np.bincount(near, minlength=k)
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, near, points)
+        order = np.argsort(near, kind="stable")
         full = count > 0
-        centroids[full] = sums[full] / count[full, None]
+        starts = (np.cumsum(count) - count)[full]
+        centroids[full] = np.add.reduceat(points[order], starts, axis=0) / count[full, None]
         if not full.all():
             centroids[~full] = points[random.choice(len(points), int((~full).sum()))]
     return centroids
 
 
-def visited_cells(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float) -> np.ndarray:
-    """Whether each cell is among the nearest pairs of centroids that together hold ``enough`` entries.
+def reach(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float) -> tuple[float, np.ndarray]:
+    """The summed distance of the cell with which the nearest cells hold ``enough`` entries, and the first centroids of the cells up to there.
 
-    ``first`` and ``second`` are one query's distances. Pairs are taken from a heap that starts with the two nearest
-    centroids; a pair enters it when its predecessors on both sides are taken.
+    ``first`` and ``second`` are one query's distances, ``counts`` the entries of each cell. The heap holds, for each
+    first centroid, its nearest cell not yet taken that has entries.
     """
-    a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    x, y = first[a].tolist(), second[b].tolist()
-    near_counts = counts[a][:, b].tolist()
-    na, nb = len(x), len(y)
-    taken_to = [0] * na  # in each row of the sorted grid, how many pairs are taken
-    heap = [(x[0] + y[0], 0, 0)]
-    held = 0
-    while heap and held < enough:
-        _, i, j = heapq.heappop(heap)
-        held += near_counts[i][j]
-        taken_to[i] = j + 1
-        if j + 1 < nb and (i == 0 or taken_to[i - 1] > j + 1):
-            heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
-        if i + 1 < na and taken_to[i + 1] == j:
-            heapq.heappush(heap, (x[i + 1] + y[j], i + 1, j))
-    grid = np.arange(nb)[None, :] < np.array(taken_to)[:, None]
-    seen = np.zeros((na, nb), bool)
-    seen[np.ix_(a, b)] = grid
-    return seen
+    by_second = np.argsort(second, kind="stable")
+    line, place = np.nonzero(counts[:, by_second])
+    if not len(line):
+        return -np.inf, line
+    sums = (first[line] + second[by_second[place]]).tolist()
+    held = counts[line, by_second[place]].tolist()
+    start = np.searchsorted(line, np.arange(len(first) + 1)).tolist()
+    heap = [(sums[s], s, e) for s, e in zip(start, start[1:], strict=False) if s < e]
+    heapq.heapify(heap)
+    seen, last = 0.0, -np.inf
+    while heap:
+        last, at, end = heap[0]
+        seen += held[at]
+        if seen >= enough:
+            break
+        if at + 1 < end:
+            heapq.heapreplace(heap, (sums[at + 1], at + 1, end))
+        else:
+            heapq.heappop(heap)
+    return last, np.unique(line[np.asarray(sums) <= last + SLACK])
 
 
 def usable(vector: Column) -> Column:
@@ -120,31 +140,27 @@ def _matrix(column, width: int) -> np.ndarray:
 def _assigned(batches, books):
     books = books.value
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        d1, d2 = books.distances(_matrix(batch.column(1), books.cut + books.second.shape[1]))
-        cells = d1.argmin(1).astype(np.int32), d2.argmin(1).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[0]), pa.array(cells[1])], names=["vec_id", "vector", "c1", "c2"])
+        if batch.num_rows:
+            cells = books.cells(_matrix(batch.column(1), books.width))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[0]), pa.array(cells[1])], names=["vec_id", "vector", "c1", "c2"])
 
 
-def _probes(batches, books, counts, enough, groups):
-    """A row for each query and each group of first centroids that it visits, with the visited cells as bits."""
-    books = books.value
+def _probes(batches, books, counts, enough, group_of):
+    """A row for each query and each group that it saw a cell of, with the distance of the last cell."""
+    books, counts = books.value, counts.value
     for batch in batches:
         if not batch.num_rows:
             continue
-        d1, d2 = books.distances(_matrix(batch.column(1), books.cut + books.second.shape[1]))
-        at, group, bits = [], [], []
+        d1, d2 = books.distances(_matrix(batch.column(1), books.width))
+        at, group, last = [], [], []
         for q in range(batch.num_rows):
-            seen = visited_cells(d1[q], d2[q], counts, enough)
-            for g, lines in groups.items():
-                own = seen[lines]
-                if own.any():
-                    at.append(q)
-                    group.append(g)
-                    bits.append(np.packbits(own).tobytes())
+            far, lines = reach(d1[q], d2[q], counts, enough)
+            for g in np.unique(group_of[lines]).tolist():
+                at.append(q)
+                group.append(g)
+                last.append(far)
         taken = batch.take(pa.array(at, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(group, pa.int32()), pa.array(bits, pa.binary())], names=["query_id", "vector", "grp", "cells"])
+        yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(group, pa.int32()), pa.array(last, pa.float64())], names=["query_id", "vector", "grp", "far"])
 
 
 def best_of(scores: np.ndarray, k: int) -> np.ndarray:
@@ -155,21 +171,21 @@ def best_of(scores: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero((scores >= kth - 1e-9 * (1 + abs(kth))) & (scores > -np.inf))
 
 
-def _searched(entries: pd.DataFrame, queries: pd.DataFrame, groups, width, k) -> pd.DataFrame:
+def _searched(entries: pd.DataFrame, queries: pd.DataFrame, books, k) -> pd.DataFrame:
     out = {"query_id": [], "vec_id": [], "score": []}
     if len(entries) and len(queries):
+        books = books.value
         e = np.stack(entries["vector"].to_numpy()).astype(np.float64)
-        ids = entries["vec_id"].to_numpy()
-        lines = groups[int(entries["grp"].iloc[0])]
-        line = np.searchsorted(lines, entries["c1"].to_numpy()) * width + entries["c2"].to_numpy()
-        qids = queries["query_id"].to_numpy()
+        ids, c1, c2 = (entries[c].to_numpy() for c in ("vec_id", "c1", "c2"))
+        qids, far = queries["query_id"].to_numpy(), queries["far"].to_numpy()
         vectors = np.stack(queries["vector"].to_numpy()).astype(np.float64)
-        cells = queries["cells"].to_numpy()
         for s in range(0, len(vectors), 128):
-            product = vectors[s : s + 128] @ e.T
+            block = vectors[s : s + 128]
+            d1, d2 = books.distances(block)
+            product = block @ e.T
+            product[d1[:, c1] + d2[:, c2] > far[s : s + 128, None] + SLACK] = -np.inf
+            product[ids[None, :] == qids[s : s + 128, None]] = -np.inf
             for i, row in enumerate(product, s):
-                seen = np.unpackbits(np.frombuffer(cells[i], np.uint8))
-                row[(seen[line] == 0) | (ids == qids[i])] = -np.inf
                 near = best_of(row, k)
                 if len(near):
                     # each product summed in the same order, so that equal vectors score equally
@@ -183,46 +199,49 @@ def _searched(entries: pd.DataFrame, queries: pd.DataFrame, groups, width, k) ->
     return pd.DataFrame({c: np.concatenate(x) if x else np.zeros(0, kinds[c]) for c, x in out.items()})
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share: float = SHARE, centroids: int = CENTROIDS) -> DataFrame:
-    """query_id, rank, vec_id and score of the nearest ``vectors`` found for each of ``queries`` (both vec_id, embedding)."""
+def _found(vectors: DataFrame, queries: DataFrame, width: int, k: int, share: float, centroids: int | None) -> DataFrame:
+    """query_id, vec_id and score of what blocks find among vectors of one length."""
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    # repeated rows go before anything is cut to k
-    clean = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where(
-        F.col("vec_id").isNotNull() & usable(F.col("vector"))).dropDuplicates(["vec_id", "vector"])
-    order = [F.xxhash64("vec_id"), "vec_id"]
-    rows = clean(vectors).orderBy(*order).limit(SAMPLE).collect()  # at most SAMPLE rows
-    if not rows:
-        return empty
-    lengths = np.bincount([len(r["vector"]) for r in rows])
-    width = int(lengths.argmax())
-    sample = np.array([r["vector"] for r in rows if len(r["vector"]) == width])
-    cut = max(1, width // 2) if width > 1 else 1
-    books = Codebooks(k_means(sample[:, :cut], centroids), k_means(sample[:, cut:], centroids) if width > cut else np.zeros((1, width - cut)))
+    first_rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()  # at most SAMPLE rows
+    sample = np.array([r["vector"] for r in first_rows])
+    n = centroids or centroids_for(vectors.count() if len(sample) == SAMPLE else len(sample))
+    cut = max(1, width // 2)
+    books = Codebooks(k_means(sample[:, :cut], n), k_means(sample[:, cut:], n) if width > cut else np.zeros((1, 0)))
     shared = spark.sparkContext.broadcast(books)
-
-    fit = lambda df: clean(df).where(F.size("vector") == width)
-    entries = materialise(fit(vectors).mapInArrow(partial(_assigned, books=shared), "vec_id long, vector array<double>, c1 int, c2 int"), "entries")
-    counts = np.zeros((len(books.first), len(books.second)))
-    sizes = np.zeros_like(counts)
+    entries = materialise(vectors.mapInArrow(partial(_assigned, books=shared), "vec_id long, vector array<double>, c1 int, c2 int"), "entries")
+    counts, sizes = np.zeros((len(books.first), len(books.second))), np.zeros(len(books.first))
     cells = entries.groupBy("c1", "c2", F.xxhash64("vector").alias("h")).count().groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("different"), F.sum("count").alias("rows"))
-    for r in cells.collect():  # one row a cell
-        counts[r["c1"], r["c2"]], sizes[r["c1"], r["c2"]] = r["different"], r["rows"]
+    for r in cells.toLocalIterator():  # one row a cell that has entries
+        counts[r["c1"], r["c2"]] = r["different"]
+        sizes[r["c1"]] += r["rows"]
     n_groups = min(GROUPS, len(books.first))
-    groups = {g: lines for g, lines in enumerate(np.array_split(np.arange(len(books.first)), n_groups))}
-    group_of = np.concatenate([np.full(len(lines), g) for g, lines in groups.items()])
-    parts = np.maximum(1, np.ceil([sizes[lines].sum() / ENTRY_BLOCK for lines in groups.values()])).astype(int).tolist()
+    group_of = np.arange(len(books.first)) * n_groups // len(books.first)
+    parts = np.maximum(1, np.ceil(np.bincount(group_of, sizes, n_groups) / ENTRY_BLOCK)).astype(int).tolist()
 
-    probes = fit(queries).mapInArrow(
-        partial(_probes, books=shared, counts=counts, enough=max(share * counts.sum(), LEAST), groups=groups), "query_id long, vector array<double>, grp int, cells binary")
-    # every group sees at most all queries; entries meet each block of them, and queries each block of entries
+    probes = queries.mapInArrow(
+        partial(_probes, books=shared, counts=spark.sparkContext.broadcast(counts), enough=max(share * counts.sum(), k + 1), group_of=group_of),
+        "query_id long, vector array<double>, grp int, far double")
+    # entries meet each block of queries, and queries each block of the entries of their groups
     query_parts = max(1, -(-queries.count() // QUERY_BLOCK))
     parts_of = F.get(F.lit(parts), F.col("grp"))
     left = entries.withColumn("grp", F.get(F.lit(group_of.tolist()), F.col("c1")).cast("int"))
     left = left.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts_of).cast("int")).withColumn("qpart", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
     right = probes.withColumn("qpart", F.pmod(F.xxhash64("query_id"), F.lit(query_parts)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts_of - 1)))
     keys = ["grp", "part", "qpart"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        partial(_searched, groups=groups, width=len(books.second), k=k), "query_id long, vec_id long, score double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(partial(_searched, books=shared, k=k), "query_id long, vec_id long, score double")
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share: float = SHARE, centroids: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id and score of the nearest ``vectors`` found for each of ``queries`` (both vec_id, embedding)."""
+    spark = vectors.sparkSession
+    # repeated rows go before anything is cut to k
+    clean = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where(
+        F.col("vec_id").isNotNull() & usable(F.col("vector"))).dropDuplicates(["vec_id", "vector"])
+    entries, asked = clean(vectors), clean(queries)
+    widths = sorted(r[0] for r in entries.select(F.size("vector")).distinct().collect())
+    if not widths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    of = lambda df, w: df.where(F.size("vector") == w)
+    found = reduce(DataFrame.unionByName, [_found(of(entries, w), of(asked, w), w, k, share, centroids) for w in widths])
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
