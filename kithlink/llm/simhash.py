@@ -8,13 +8,16 @@ keys of 32 bits at ``d`` = 3). In a posting list the shared positional bytes of
 fewer than ``8 - d`` are dropped, and the rest are verified by counting differing bits.
 
 Only classes are wanted, so a list gives a spanning forest of its verified pairs instead of the pairs
-themselves. A short list is compared in blocks; in a long one (a large group of near copies) each fingerprint
-probes for the values within ``d`` flips of the bits outside the key, whose number is fixed, so that the work
-is in proportion to the list. Equal fingerprints are one node, named by the smallest doc_id that has it.
+themselves. Lists are compared in blocks; in one of more than ``BLOCKWISE`` different fingerprints (a very large
+group of near copies) each fingerprint probes for the values within ``d`` flips of the bits outside the key, whose
+number is fixed, so that the work is in proportion to the list; the pairs found are the same. Equal fingerprints
+are one node, named by the smallest doc_id that has it.
 
 Null texts and texts without words have fingerprint zero, and are linked like any other. Rows without a doc_id
 never name a class: their component_id is that of their fingerprint where some row with an id has it, else
-null. Rows that share a doc_id count as one document in linking. Columns other than doc_id and text are not read.
+null. Rows that share a doc_id count as one document in linking. Repeated rows each get their own result row, texts
+are read whole whatever their length, and an empty table gives an empty result. ``near_duplicates`` reads doc_id and
+text only; ``keep_one_each`` carries all other columns along, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -28,14 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_partitions, text_slices
+from .common import materialise, quoted, row_hash, shuffle_partitions, spare, text_slices
 from .components import connected_components
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
-#: Lists up to this length are compared pair by pair (in blocks), longer ones by probing.
-BLOCKWISE = 4096
+#: Lists up to this length are tallied pair by pair (in blocks), longer ones probed; about here both take the same time.
+BLOCKWISE = 32768
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The SimHash of one text as an unsigned number."""
@@ -134,41 +137,36 @@ def key_masks(distance: int) -> list[int]:
 def _links(batches, masks, distance):
     """Rows come sorted by (k, key); the edges of each run of equal keys leave as pairs of node numbers."""
     flips: dict[int, np.ndarray] = {}
-    rest = None
+    pieces: list[list[np.ndarray]] = []  # of the run that is still open: k, key, fp and node
     out_u: list[int] = []
     out_v: list[int] = []
 
-    def emit(k, fp, node):
-        for a, b in list_forest(fp, masks[k], distance, flips):
-            out_u.append(node[a])
-            out_v.append(node[b])
-
-    def runs(k, key, fp, node, last):
-        nonlocal rest
-        if not len(k):
-            return
-        cut = np.flatnonzero((k[1:] != k[:-1]) | (key[1:] != key[:-1])) + 1
-        starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(k)]))
-        if not last:
-            s = starts[-1]
-            rest = [x[s:] for x in (k, key, fp, node)]
-            starts, ends = starts[:-1], ends[:-1]
-        for i in np.flatnonzero(ends - starts > 1):
-            s, e = starts[i], ends[i]
-            emit(int(k[s]), fp[s:e], node[s:e])
+    def close() -> None:
+        k, _, fp, node = (np.concatenate(x) for x in zip(*pieces, strict=True))
+        pieces.clear()
+        if len(fp) > 1:
+            for a, b in list_forest(fp, masks[int(k[0])], distance, flips):
+                out_u.append(int(node[a]))
+                out_v.append(int(node[b]))
 
     for batch in batches:
-        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        new[2] = new[2].astype(np.int64).view(np.uint64)
-        if rest is not None:
-            new = [np.concatenate(x) for x in zip(rest, new, strict=True)]
-            rest = None
-        runs(*new, last=False)
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        columns[2] = columns[2].astype(np.int64).view(np.uint64)
+        k, key = columns[:2]
+        if pieces and (pieces[-1][0][-1] != k[0] or pieces[-1][1][-1] != key[0]):
+            close()
+        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]) | (key[1:] != key[:-1])) + 1).tolist(), len(k)]
+        for s, e in zip(edges, edges[1:], strict=False):
+            if s:
+                close()
+            pieces.append([c[s:e] for c in columns])
         if len(out_u) > 50_000:
             yield pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], names=["u", "v"])
             out_u.clear(), out_v.clear()
-    if rest is not None:
-        runs(*rest, last=True)
+    if pieces:
+        close()
     yield pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], names=["u", "v"])
 
 
@@ -191,11 +189,32 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _rows_with_prints(batches):
+    """doc_id, the hash of the row and the fingerprint of its text."""
+    for batch in batches:
+        out = np.empty(batch.num_rows, np.uint64)
+        for start, texts in text_slices(batch):
+            out[start : start + len(texts)] = [fingerprint(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out.view(np.int64))], names=["doc_id", "row", "fp"])
+
+
 def keep_one_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` without the near duplicates: of each class the row with the smallest doc_id stays; repeated rows of one id stay once.
+    """The rows of ``docs`` without the near duplicates: one row of each class of linked fingerprints stays.
 
-    Rows without a doc_id are outside any class and stay.
+    It is the one with the smallest doc_id, and among rows that share this id the first by a hash of the whole row, so
+    reruns agree and different texts under one id, if they are no near duplicates, all stay. Rows that are equal in
+    every column are one row. Rows without a doc_id are outside any class and stay.
     """
-    kept = near_duplicates(docs, distance).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    own_id, own_row = spare(docs, "id", "row")
+    named = docs.select(*quoted(docs.columns), F.col("doc_id").cast("long").alias(own_id), row_hash(docs).alias(own_row)).where(F.col(own_id).isNotNull())
+    prints = named.select(F.col(own_id).alias("doc_id"), F.col(own_row).alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(
+        _rows_with_prints, "doc_id long, row long, fp long")
+    prints = materialise(prints, "row-fingerprints")
+    # a fingerprint's class is the least fingerprint that it is linked to
+    nodes = materialise(prints.select("fp").distinct().withColumn("node", F.col("fp")), "print-nodes")
+    classes = connected_components(link_fingerprints(nodes, distance).distinct())
+    of_print = nodes.join(classes, "node", "left").select("fp", F.coalesce("component", "node").alias("class"))
+    first = prints.join(of_print, "fp").groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias(own_id), F.col("first.row").alias(own_row))
+    kept = named.join(first, [own_id, own_row], "left_semi").dropDuplicates([own_id, own_row])
+    return kept.select(*quoted(docs.columns)).unionByName(docs.where(F.col("doc_id").isNull()))
