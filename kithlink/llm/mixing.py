@@ -3,123 +3,125 @@
 The rates ``r`` of documents minimise the relative entropy ``sum(size * (r ln r - r + 1))`` under the constraints
 that each category's rated words equal its target, for one or more category columns at once (``op6`` has one, the
 source). The dual is convex with one variable a category, and its solution tilts the rates exponentially:
-``r = exp(sum of the document's categories' variables)``, cut at ``cap``. Newton's gradient and Hessian are sums
-over documents; documents with equal categories share a rate, so each iteration is an aggregate over the cells of
-categories, which are counted once. Step lengths are halved while the dual does not improve.
+``r = exp(sum of the document's categories' variables)``, cut at ``cap``. Newton's gradient and Hessian are sums over
+documents; documents with equal categories share a rate, so each iteration is an aggregate over the cells of
+categories, which are counted once. A document has one category of a column, so the Hessian within a column is
+diagonal and its Newton step a division in each category's row; columns take their steps in turn. Categories, targets
+and variables are tables throughout: the driver sees the largest relative gap of an iteration, nothing else.
+
+Targets share all words by weight, cut at ``cap`` times a source's words, the excess shared again. Sorted by cap over
+weight, the sources that are cut come first, so running sums give the share at which no further one is cut.
 
 Rates become whole copies: the whole part for every document, and one more for some. Within a source, sizes are
 gone through from the largest down, and each size class takes as many extra copies as brings the words taken so
 far closest to the words rated so far: a remainder is carried to smaller sizes, so a source misses its target by
-less than a document's size. Which documents of a class take them is decided by a hash of doc_id; ranks are
+less than a document's size. Which documents of a class take them is decided by the MD5 of doc_id; ranks are
 counted within buckets of the hash, with the earlier buckets' counts added, so that no class makes a large task.
 
-What is gathered for a source is one row for each distinct size; sources themselves are on the driver, one
-number each. Null texts have size 0; null sources are a source of their own, the last. An empty table gives an
-empty result; repeated rows are documents of their own. Columns of the input are kept whatever their names.
+What is gathered for a source is one row for each distinct size. Null texts have size 0; null sources are a source of
+their own, the last. An empty table gives an empty result; repeated rows are documents of their own, and texts are
+counted whole. All columns of the input are carried along, whatever their names and types.
 """
 
 from __future__ import annotations
 
 import math
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, materialise
+from .common import WORD_RE, discard, materialise, quoted, row_hash
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
-BUCKETS = 64
+#: Hexadecimal digits of the hash that number a bucket.
+BUCKET_DIGITS = 2
+#: Rates are rounded to so many digits, over what iterations leave open.
+RATE_DIGITS = 9
+#: A variable that leaves nothing of a document.
+NOTHING = -700.0
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> dict[str | None, float]:
-    """Each source's words: shares of all by weight, cut at ``cap`` times its size, the excess shared again by weight."""
-    named = sorted(sizes, key=lambda s: (s is None, (s or "").encode("utf-8", "surrogatepass")))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(named)}
-    left, free, found = float(sum(sizes.values())), set(named), {}
-    while free:
-        unit = left / sum(weight[s] for s in free)
-        over = [s for s in named if s in free and unit * weight[s] > cap * sizes[s]]
-        if not over:
-            found |= {s: unit * weight[s] for s in free}
-            break
-        for s in over:
-            found[s] = float(cap * sizes[s])
-            left -= found[s]
-            free.discard(s)
-    return found
-
-
-def balance(cells: DataFrame, wanted: dict[str, dict], cap: float = CAP, rounds: int = 50, close: float = 1e-9) -> dict[str, dict]:
-    """The dual variables of each category.
+def running(rows: DataFrame, order: list[Column], **sums: str) -> DataFrame:
+    """``rows`` with ``_nth`` (from 0) in the order, and for each ``name=column`` the sum of the column over the rows before.
 
-    ``cells`` has the columns of ``wanted`` and ``words``; ``wanted`` maps a column to its categories' targets
-    (the sums of all columns' targets are equal). A category without words or without target gets minus infinity.
+    Rows are sorted in ranges; a range adds the earlier ranges' totals, of which there is one row a range.
     """
-    spark = cells.sparkSession
-    names = [(c, k) for c in wanted for k in wanted[c]]
-    number = {x: i for i, x in enumerate(names)}
-    goal = np.array([float(wanted[c][k]) for c, k in names])
-    sums = {c: {r[0]: float(r[1]) for r in cells.groupBy(c).agg(F.sum("words")).collect()} for c in wanted}
-    here = np.array([sums[c].get(k, 0.0) for c, k in names])
-    live = np.flatnonzero((goal > 0) & (here > 0))
-    level = np.zeros(len(names))
-    level[(goal <= 0) | (here <= 0)] = -np.inf
-
-    def at(values: np.ndarray):
-        """Dual value, gradient and Hessian, from one distributed aggregate of the cells."""
-        joined, power = cells, F.lit(0.0)
-        for i, c in enumerate(wanted):
-            rows = [(k, number[c, k], float(max(values[number[c, k]], -700))) for k in wanted[c]]
-            table = F.broadcast(spark.createDataFrame(rows, f"_k{i} {cells.schema[c].dataType.simpleString()}, _i{i} int, _v{i} double"))
-            joined = joined.join(table, F.col(c).eqNullSafe(F.col(f"_k{i}")))
-            power = power + F.col(f"_v{i}")
-        top = math.log(cap)
-        rate = F.exp(F.least(power, F.lit(top)))
-        area = F.when(power > top, cap * (1 + power - top)).otherwise(rate)  # its derivative is the rate
-        keys = [f"_i{i}" for i in range(len(wanted))]
-        got = joined.groupBy(*keys).agg(
-            F.sum(F.col("words") * area).alias("a"), F.sum(F.col("words") * rate).alias("r"),
-            F.sum(F.when(power < top, F.col("words") * rate).otherwise(0.0)).alias("h")).collect()
-        gradient, hessian, value = -goal.copy(), np.zeros((len(names), len(names))), 0.0
-        for row in got:
-            own = [row[k] for k in keys]
-            value += row["a"]
-            for i in own:
-                gradient[i] += row["r"]
-                for j in own:
-                    hessian[i, j] += row["h"]
-        return value - float(goal[live] @ values[live]), gradient, hessian
-
-    if not len(live):
-        return {c: {k: float(level[number[c, k]]) for k in wanted[c]} for c in wanted}
-    value, gradient, hessian = at(level)
+    place = F.monotonically_increasing_id()  # the range's number above 33 bits for the row's
+    sorted_rows = materialise(rows.orderBy(*order).withColumn("_at", place), "sorted")
+    part = F.shiftright("_at", 33)
+    totals = sorted_rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_b{c}") for c in ("_n", *(f"_t_{n}" for n in sums))])
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    out = sorted_rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    own = [(F.col(f"_b_t_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()]
+    return out.select(*quoted(rows.columns), (F.col("_b_n") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("_nth"), *own)
+
+
+def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """``sources`` (source, words) with ``goal``: shares of all words by weight, cut at ``cap`` times the words, the excess shared again by weight."""
+    numbered = running(sources, [F.col("source").isNull(), F.col("source")])
+    weighted = numbered.withColumn("weight", F.get(F.lit(list(map(float, weights))), F.pmod("_nth", F.lit(len(weights))).cast("int"))).drop("_nth")
+    weighted = weighted.withColumn("level", cap * F.col("words") / F.col("weight"))
+    ranked = running(weighted, [F.col("level"), F.col("source").isNull(), F.col("source")], cut="words", used="weight")
+    whole = weighted.agg(F.sum("words").alias("_all"), F.sum("weight").alias("_weights"))  # one row
+    units = ranked.join(F.broadcast(whole)).withColumn("unit", (F.col("_all") - cap * F.col("cut")) / (F.col("_weights") - F.col("used")))
+    unit = units.where(F.col("unit") <= F.col("level")).agg(F.min_by("unit", "_nth").alias("unit"))  # one row; null if all are cut
+    return weighted.join(F.broadcast(unit)).select(
+        *quoted(sources.columns), F.when(F.col("unit") <= F.col("level"), F.col("unit") * F.col("weight")).otherwise(cap * F.col("words")).cast("double").alias("goal"))
+
+
+def balance_levels(cells: DataFrame, goals: dict[str, DataFrame], cap: float = CAP, rounds: int = 100, close: float = 1e-9) -> dict[str, DataFrame]:
+    """The dual variables of each column's categories: tables of the column and ``level``.
+
+    ``cells`` has the columns of ``goals`` and ``words``; ``goals`` maps a column to a table of its categories (none of
+    them null) and their ``goal``; the sums of all columns' goals are equal. A category without words or without goal
+    gets ``NOTHING``. Iterations end when every goal is met but for the share ``close`` of it, or nothing improves.
+    """
+    top = math.log(cap)
+    levels = {}
+    for c, goal in goals.items():
+        words = cells.groupBy(c).agg(F.sum("words").alias("_w"))
+        start = F.when((F.col("goal") > 0) & (F.col("_w") > 0), 0.0).otherwise(NOTHING)
+        levels[c] = materialise(goal.join(words, c, "left").select(c, F.col("goal").cast("double").alias("goal"), start.alias("level")), "levels")
+    worst = math.inf
     for _ in range(rounds):
-        if np.abs(gradient[live]).max() <= close * goal.max():
-            break
-        part = hessian[np.ix_(live, live)]
-        ridge = 1e-9 * max(1.0, np.trace(part) / len(live))
-        step = np.linalg.lstsq(part + ridge * np.eye(len(live)), -gradient[live], rcond=None)[0]
-        step = np.clip(step, -2, 2)
-        length = 1.0
-        while length > 1e-6:
-            tried = level.copy()
-            tried[live] += length * step
-            new = at(tried)
-            if new[0] <= value + 1e-12 * abs(value):
-                break
-            length /= 2
-        else:
+        gaps = []
+        for c in goals:
+            joined = cells
+            for i, (name, table) in enumerate(levels.items()):
+                joined = joined.join(table.select(name, F.col("level").alias(f"_l{i}")), name)
+            power = reduce(Column.__add__, [F.col(f"_l{i}") for i in range(len(levels))])
+            # beyond the cap the rate's slope is taken as at the cap, so that a step leads back
+            rated = joined.groupBy(c).agg(F.sum(F.col("words") * F.exp(F.least(power, F.lit(top)))).alias("_r"))
+            off = F.col("goal") - F.col("_r")
+            step = F.when(F.col("level") > NOTHING, F.greatest(F.least(off / F.col("_r"), F.lit(2.0)), F.lit(-2.0))).otherwise(0.0)
+            old = levels[c]
+            gap = F.when(F.col("level") > NOTHING, F.abs(off) / F.col("goal")).otherwise(0.0)
+            stepped = old.join(rated, c, "left").select(c, "goal", (F.col("level") + F.coalesce(step, F.lit(0.0))).alias("level"), gap.alias("gap"))
+            levels[c] = materialise(stepped, "levels")
+            gaps.append(levels[c].agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0])
+            discard(old)
+        if max(gaps) <= close or (max(gaps) < 1e-9 and max(gaps) >= worst):
             break
-        level, (value, gradient, hessian) = tried, new
-    return {c: {k: float(level[number[c, k]]) for k in wanted[c]} for c in wanted}
+        worst = max(gaps)
+    return {c: table.select(c, "level") for c, table in levels.items()}
+
+
+def balance(cells: DataFrame, wanted: dict[str, dict], cap: float = CAP, rounds: int = 200, close: float = 1e-9) -> dict[str, dict]:
+    """``balance_levels`` for categories that fit the driver: ``wanted`` maps a column to its categories' targets, the result to their variables."""
+    spark = cells.sparkSession
+    goals = {c: spark.createDataFrame([(k, float(v)) for k, v in own.items()], f"{c} {cells.schema[c].dataType.simpleString()}, goal double") for c, own in wanted.items()}
+    found = balance_levels(cells, goals, cap, rounds, close)
+    return {c: {r[0]: r[1] if r[1] > NOTHING else -math.inf for r in table.collect()} for c, table in found.items()}
 
 
 def whole_copies(sizes: np.ndarray, counts: np.ndarray, rates: np.ndarray, cap: int = CAP) -> tuple[np.ndarray, np.ndarray]:
@@ -135,52 +137,72 @@ def whole_copies(sizes: np.ndarray, counts: np.ndarray, rates: np.ndarray, cap:
     return base, extra
 
 
-def _classes(pdf: pd.DataFrame, rates: dict, cap: int) -> pd.DataFrame:
+def _classes(pdf: pd.DataFrame, cap: int) -> pd.DataFrame:
     pdf = pdf.sort_values("_size", ascending=False, kind="stable")
-    source = pdf["_source"].iloc[0]
-    rate = rates[source if isinstance(source, str) else None]
-    base, extra = whole_copies(pdf["_size"].to_numpy(), pdf["_n"].to_numpy(), np.full(len(pdf), rate), cap)
+    base, extra = whole_copies(pdf["_size"].to_numpy(), pdf["_n"].to_numpy(), pdf["_rate"].to_numpy(), cap)
     return pd.DataFrame({"_key": pdf["_key"], "_size": pdf["_size"], "_base": base, "_extra": extra})
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``docs`` with the columns _size, _source_size, _target and _copies: how often the mix takes each row."""
-    spark = docs.sparkSession
-    columns = [F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(docs.columns)]
+def _placed(docs: DataFrame, size: Column | None, weights: tuple[float, ...], cap: int) -> DataFrame:
+    """``docs`` with its columns as _own_0, _own_1 and so on, and _size, _source_size, _target and _copies."""
+    own = [c.alias(f"_own_{i}") for i, c in enumerate(quoted(docs.columns))]
     source = F.col("source").cast("string")
+    counted = size if size is not None else size_of(F.col("text").cast("string"))
+    order = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 16)
     rows = docs.select(
-        *columns, source.alias("_source"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("_key"),
-        size_of(F.col("text").cast("string") if "text" in docs.columns else F.lit(None)).alias("_size") if "_size" not in docs.columns else F.col("_size"),
-        F.xxhash64("doc_id").alias("_hash"), F.xxhash64(*docs.columns).alias("_tie")).withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(BUCKETS)).cast("int"))
-    narrow = materialise(rows.groupBy("_source", "_key", "_size", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "mix-sizes")
-    words = {r["_source"]: int(r["w"]) for r in narrow.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_size")).alias("w")).collect()}
-    wanted = targets(words, weights, cap)
-    cells = narrow.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_size")).alias("words"))
-    dual = balance(cells, {"_source": wanted}, cap)["_source"] if words else {}
-    rates = {s: min(float(cap), math.exp(v)) if v > -700 else 0.0 for s, v in dual.items()}
-
-    classes = narrow.groupBy("_source", "_key", "_size").agg(F.sum("_n").alias("_n")).groupBy("_key").applyInPandas(
-        partial(_classes, rates=rates, cap=cap), "_key string, _size long, _base long, _extra long")
+        *own, F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("_key"), counted.alias("_size"), order.alias("_hash"), row_hash(docs).alias("_tie"))
+    rows = rows.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    narrow = materialise(rows.groupBy("_key", "_size", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "mix-sizes")
+    cells = materialise(narrow.groupBy("_key").agg(F.sum(F.col("_n") * F.col("_size")).alias("words")), "mix-words")
+    named = cells.withColumn("source", F.when(F.col("_key") != "n", F.substring("_key", 2, 2**31 - 1)))
+    goals = materialise(source_targets(named, weights, cap), "mix-targets")
+    level = balance_levels(cells, {"_key": goals.select("_key", "goal")}, cap, close=1e-13)["_key"]
+    rate = F.when(F.col("level") > NOTHING, F.round(F.least(F.exp("level"), F.lit(float(cap))), RATE_DIGITS)).otherwise(0.0)
+    sources = goals.join(level, "_key").select("_key", F.col("words").alias("_source_size"), F.col("goal").alias("_target"), rate.alias("_rate"))
+
+    sized = narrow.groupBy("_key", "_size").agg(F.sum("_n").alias("_n")).join(sources.select("_key", "_rate"), "_key")
+    classes = sized.groupBy("_key").applyInPandas(partial(_classes, cap=cap), "_key string, _size long, _base long, _extra long")
     before = Window.partitionBy("_key", "_size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = narrow.select("_key", "_size", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).join(classes, ["_key", "_size"])
-    sources = spark.createDataFrame(
-        [("n" if s is None else "s" + s, words[s], float(wanted[s])) for s in words], "_key string, _source_size long, _target double")
+    buckets = buckets.join(sources.drop("_rate"), "_key")
     within = Window.partitionBy("_key", "_size", "_bucket").orderBy("_hash", "_tie")
-    placed = rows.join(buckets, ["_key", "_size", "_bucket"]).withColumn("_nth", F.row_number().over(within)).join(sources, "_key")
-    copies = F.col("_base") + F.when(F.col("_before") + F.col("_nth") <= F.col("_extra"), 1).otherwise(0)
-    own = [F.col(f"_own_{i}").alias(c) for i, c in enumerate(docs.columns) if c != "_size"]
-    return placed.select(*own, "_size", "_source_size", "_target", copies.alias("_copies"))
+    nth = F.col("_before") + F.row_number().over(within)
+    placed = rows.join(buckets, ["_key", "_size", "_bucket"]).withColumn("_copies", F.col("_base") + F.when(nth <= F.col("_extra"), 1).otherwise(0))
+    return placed.select(*[f"_own_{i}" for i in range(len(docs.columns))], "_size", "_source_size", "_target", "_copies")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, size: Column | None = None) -> DataFrame:
+    """``docs`` with the columns _size, _source_size, _target and _copies: how often the mix takes each row.
+
+    A document's size is the number of its text's words, or ``size`` where that is given. Columns of ``docs`` with these four names are left out.
+    """
+    added = ("_size", "_source_size", "_target", "_copies")
+    kept = [F.col(f"_own_{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in added]
+    return _placed(docs, size, weights, cap).select(*kept, *added)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of each row."""
-    sized = materialise(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("_size")), "sizes")
-    return mix(sized).select(
+    sized = materialise(docs.select("doc_id", "source", size_of(F.col("text").cast("string")).alias("words")), "sizes")
+    return mix(sized, size=F.col("words")).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    taken = mix(docs).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+    taken = _placed(docs, None, WEIGHTS, CAP).where("_copies > 0")
+    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return repeated.select(*[F.col(f"_own_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> dict[str | None, float]:
+    """``source_targets`` for sources that fit the driver."""
+    named = sorted(sizes, key=lambda s: (s is None, (s or "").encode("utf-8", "surrogatepass")))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(named)}
+    left, used = float(sum(sizes.values())), sum(weight.values())
+    found = {}
+    for s in sorted(named, key=lambda s: cap * sizes[s] / weight[s]):
+        found[s] = min(float(cap * sizes[s]), left / used * weight[s])
+        left, used = left - found[s], used - weight[s]
+    return found

@@ -70,7 +70,9 @@ QUERIES: dict[str, Query] = {
     "op10_byte_shards": op10_byte_shards,
 }
 
-_UNWANTED = "|".join(urls.UNWANTED)
+#: Whether the method's own rules block host, path and query, joined as u.
+_BLOCKED = " OR ".join(
+    "regexp_matches(u, '(?is)" + shape.replace("{}", "(?:" + "|".join(w.replace("-", "[-]") for w in words) + ")") + "')" for words, shape in urls.SHAPES.values())
 
 ORACLE_SQL: dict[str, str] = {
     "op3_url_rules": rf"""
@@ -79,7 +81,7 @@ WITH a AS (
 ), b AS (
   SELECT page_id,
     translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query
   FROM a
 ), c AS (
   SELECT *, CASE
@@ -88,14 +90,48 @@ WITH a AS (
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/'
-  END AS rule FROM b
+  END AS rule, host || path || query AS u FROM b
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
     WHEN rule IS NOT NULL THEN 'block'
-    WHEN regexp_matches(host, '(^|[.-])({_UNWANTED})([.-]|$)') THEN 'block'
+    WHEN {_BLOCKED} THEN 'block'
     ELSE 'allow' END AS verdict
 FROM c
+""",
+    "op6_mixing": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), numbered AS (
+  SELECT source, words, CAST(CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS words FROM d GROUP BY source)
+), levels AS (SELECT *, 3 * words / weight AS level FROM numbered
+), ranked AS (
+  SELECT *, row_number() OVER w AS nth, CAST(sum(words) OVER () AS BIGINT) AS all_words, sum(weight) OVER () AS all_weights,
+    CAST(coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cut,
+    coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used
+  FROM levels WINDOW w AS (ORDER BY level, source IS NULL, source)
+), unit AS (
+  SELECT min_by(u, nth) AS unit FROM (SELECT nth, level, (all_words - 3 * cut) / (all_weights - used) AS u FROM ranked) WHERE u <= level
+), goals AS (
+  SELECT source, words, CASE WHEN unit <= level THEN unit * weight ELSE CAST(3 * words AS DOUBLE) END AS goal FROM levels CROSS JOIN unit
+), rates AS (
+  SELECT *, CASE WHEN words > 0 THEN round(least(goal / words, 3), 9) ELSE 0 END AS rate FROM goals
+), classes AS (
+  SELECT c.source, c.size, c.n, least(floor(rate + 1e-9), 3) AS base, greatest(rate - least(floor(rate + 1e-9), 3), 0) AS part,
+    row_number() OVER (PARTITION BY c.source ORDER BY c.size DESC) AS i
+  FROM (SELECT source, size, count(*) AS n FROM d GROUP BY source, size) c JOIN rates r ON c.source IS NOT DISTINCT FROM r.source
+), steps AS (
+  SELECT source, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS size, CAST(0 AS DOUBLE) AS owed, CAST(0 AS DOUBLE) AS base, CAST(0 AS DOUBLE) AS extra FROM rates
+  UNION ALL
+  SELECT source, i, size, due - extra * size, base, extra FROM (
+    SELECT *, CASE WHEN size > 0 AND base < 3 THEN least(greatest(floor(due / size + 0.5), 0), n) ELSE 0 END AS extra FROM (
+      SELECT c.source, c.i, c.size, c.n, c.base, s.owed + c.part * c.n * c.size AS due FROM steps s JOIN classes c ON c.source IS NOT DISTINCT FROM s.source AND c.i = s.i + 1))
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source, size ORDER BY substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16)) AS nth FROM d
+)
+SELECT p.doc_id, p.size, r.words AS source_size, r.goal AS target, CAST((s.base + CASE WHEN p.nth <= s.extra THEN 1 ELSE 0 END) * p.size AS BIGINT) AS taken
+FROM placed p JOIN rates r ON p.source IS NOT DISTINCT FROM r.source JOIN steps s ON s.i > 0 AND s.source IS NOT DISTINCT FROM p.source AND s.size = p.size
 """,
     "op7_substring": r"""
 WITH d AS (
