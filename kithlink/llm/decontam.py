@@ -17,7 +17,9 @@ changed, added or left out explains all that is missing.
 The index is broadcast in slices of at most ``SLICE_WORDS`` words of items, one pass over the documents a slice,
 so its size is bounded however large the benchmark is. Words are lower-cased runs of letters, digits and
 underscores. Null texts, and items without a word, match nothing; items shorter than five words are compared
-whole. Rows are judged each for itself, whatever their ids; items without an id count like others and are reported with a null item_id.
+whole. Rows are judged each for itself, whatever their ids, repeated ones alike; items without an id count like others
+and are reported with a null item_id. An empty table of documents or of items gives no matches. ``drop_contaminated`` carries
+all columns of the documents along, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import filter_by_text, text_slices
 
 PART = 64
 GRAM = 5
@@ -271,10 +273,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _keep(batches, index):
+def _keep(batches, text, index):
     index = index.value
     for batch in batches:
-        clean = [not (t and index.matches(t)) for _, texts in text_slices(batch) for t in texts]
+        clean = [not (t and index.matches(t)) for _, texts in text_slices(batch, text) for t in texts]
         yield batch.filter(pa.array(clean, pa.bool_()))
 
 
@@ -282,5 +284,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item. Rows are filtered where they are; nothing is shuffled."""
     spark = docs.sparkSession
     for index in indexes(benchmark):
-        docs = docs.mapInArrow(partial(_keep, index=spark.sparkContext.broadcast(index)), docs.schema)
+        docs = filter_by_text(docs, partial(_keep, index=spark.sparkContext.broadcast(index)))
     return docs

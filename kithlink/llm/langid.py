@@ -9,7 +9,10 @@ Viterbi recursion together.
 Learned from at most ``PER_LANGUAGE`` documents a language, the first by a hash of their ids, among those whose
 remainder is not 1 and whose lang is set; what is gathered is a count per language and hashed trigram, whose
 number is fixed. Null texts and texts without a letter are ``und`` with score 0. Ties go to the language that
-comes first by name. Without any labelled document everything is ``und``.
+comes first by name. Without any labelled document everything is ``und``. Each row is judged for itself, repeated
+ones alike, over its whole text; an empty table gives an empty result. ``drop_unknown`` carries all columns of its
+input along, whatever their names and types. The model has a column a language, so labels other than language codes
+(more than ``MOST_LANGUAGES`` different ones) are an error.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_by_hash, held_out, text_slices
+from .common import filter_by_text, first_by_hash, held_out, quoted, text_slices
 
 PER_LANGUAGE = 1500
 BUCKETS = 1 << 18
@@ -30,6 +33,8 @@ BUCKETS = 1 << 18
 SWITCH = 12.0
 #: Words whose scores are held at a time.
 WORDS = 1_500_000
+#: The most languages that are learned; the model that is broadcast has BUCKETS rows of so many columns at most.
+MOST_LANGUAGES = 256
 #: A language has a script if it makes this share of its letters.
 SCRIPT_SHARE = 0.01
 
@@ -122,6 +127,8 @@ def _counts(batches):
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """The model of the documents that may be learned from."""
     known = docs.select("doc_id", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    if known.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values; these are no language codes")
     chosen = first_by_hash(known, "lang", per_language).distinct()
     # at most per_language rows a language
     sample = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
@@ -197,10 +204,10 @@ def _labelled(texts: list[str | None], model: Model, switch: float):
     return pred, np.where(total > 0, share.max(axis=1) / np.maximum(total, 1), 0.0), words, label
 
 
-def _groups(batch, most: int):
+def _groups(batch, most: int, column: str = "text"):
     """Slices of the batch with about ``most`` code points."""
     rows, chars, begin = [], 0, 0
-    for start, texts in text_slices(batch, rows=64):
+    for start, texts in text_slices(batch, column, rows=64):
         rows += texts
         chars += sum(len(t) for t in texts if t)
         if chars >= most:
@@ -210,12 +217,12 @@ def _groups(batch, most: int):
         yield begin, rows
 
 
-def _predict(batches, model, switch, keep, spans):
+def _predict(batches, model, switch, text, spans):
     model = model.value
     names = [*model.languages, "und"]
     for batch in batches:
         pred, score, found = [], [], []
-        for _, texts in _groups(batch, 4 * WORDS):
+        for _, texts in _groups(batch, 4 * WORDS, text):
             p, s, words, label = _labelled(texts, model, switch)
             pred += [names[i] for i in p]
             score.append(s)
@@ -225,19 +232,23 @@ def _predict(batches, model, switch, keep, spans):
                 for a, b in zip(edge, [*edge, len(label)][1:], strict=True):
                     per[words.doc[a]].append({"start": int(words.start[a]), "end": int(words.end[b - 1]), "lang": names[label[a]]})
                 found += per
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+        keep = [i for i, name in enumerate(batch.schema.names) if name != text]
+        columns = [batch.column(i) for i in keep]
         columns += [pa.array(pred, pa.string()), pa.array(np.concatenate(score) if score else [], pa.float64())]
         if spans:
             columns.append(pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
-        yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score", *["spans"] * spans])
+        yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in keep), "lang_pred", "score", *["spans"] * spans])
 
 
 def identify(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), spans: bool = False, switch: float = SWITCH) -> DataFrame:
     """The ``keep`` columns, lang_pred and score of each row of ``docs``, and its spans (start, end, lang) if asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    read = docs.select(*dict.fromkeys([*keep, "text"]))
-    out = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double", *["spans array<struct<start:bigint,end:bigint,lang:string>>"] * spans])
-    return read.mapInArrow(partial(_predict, model=shared, switch=switch, keep=list(keep), spans=spans), out)
+    own = [f"_keep{i}" for i in range(len(keep))]
+    read = docs.select(*[c.alias(o) for c, o in zip(quoted(list(keep)), own, strict=True)], F.col("text").cast("string").alias("_text"))
+    kinds = [docs.schema[c].dataType.simpleString() for c in keep]
+    out = ", ".join([*(f"{o} {k}" for o, k in zip(own, kinds, strict=True)), "lang_pred string, score double", *["spans array<struct<start:bigint,end:bigint,lang:string>>"] * spans])
+    judged = read.mapInArrow(partial(_predict, model=shared, switch=switch, text="_text", spans=spans), out)
+    return judged.select(*[F.col(o).alias(c) for o, c in zip(own, keep, strict=True)], "lang_pred", "score", *["spans"] * spans)
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -245,7 +256,18 @@ def languages(docs: DataFrame) -> DataFrame:
     return identify(docs, learn(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def drop_unknown(docs: DataFrame, least: float = 0.3) -> DataFrame:
+def _known(batches, text, model, switch, least):
+    """The rows of the batches that have a language, as they are."""
+    model = model.value
+    for batch in batches:
+        keep = []
+        for _, texts in _groups(batch, 4 * WORDS, text):
+            pred, score, *_ = _labelled(texts, model, switch)
+            keep.append((pred >= 0) & (score >= least))
+        yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
+
+
+def drop_unknown(docs: DataFrame, least: float = 0.3, switch: float = SWITCH) -> DataFrame:
     """The rows of ``docs`` whose text has a language, one that holds at least the share ``least`` of its letters."""
-    judged = identify(docs, learn(docs), keep=tuple(docs.columns))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs))
+    return filter_by_text(docs, partial(_known, model=shared, switch=switch, least=least))

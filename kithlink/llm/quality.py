@@ -10,7 +10,9 @@ the ``NEIGHBOURS`` nearest by cosine vote with a power of their similarity as we
 The sample is bounded: at most ``PER_LABEL`` documents of either label, the first by a hash of their ids, among
 those whose remainder is not 1. Labels, lang, source and ids are never inputs. Null and empty texts, and texts
 without a usable vector, get the share of label 1 among the labels that may be learned from; so does everything if there are no
-labels of both kinds. Documents labelled twice with different values count once for each.
+labels of both kinds. Documents labelled twice with different values count once for each. Texts are read whole,
+however long; repeated rows score alike; an empty table gives an empty result; columns other than doc_id and text
+(and doc_id and the label's of ``labels``) are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ PER_LABEL = 1200
 NEIGHBOURS = 9
 POWER = 12
 DIMENSIONS = 64
+#: Cosines that differ by less are equal.
+ROUNDING = 1e-6
 LETTER_TERMS = 2048
 CLASS_TERMS = 1024
 REPEATS = 16
@@ -63,11 +67,13 @@ def term_counts(texts: list[str | None]) -> np.ndarray:
     code = np.frombuffer(("\n" + whole + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.array([len(t or "") for t in texts])
     doc = np.repeat(np.arange(n), lengths + 1)[: len(code) - 2]  # of code[1:-1]
+    inside = np.ones(len(doc), bool)
+    inside[np.cumsum(lengths + 1)[:-1] - 1] = False  # what stands between two texts belongs to neither
     kind = np.where(code < 0x3000, _CLASSES[np.minimum(code, 0x2FFF)], 3)
     out = np.zeros((n, TERMS), np.float32)
     mid = kind[1:-1]
     classes = _mixed(kind[:-2], mid, kind[2:], 10)
-    out[:, LETTER_TERMS : LETTER_TERMS + CLASS_TERMS] = np.bincount(doc * CLASS_TERMS + classes, minlength=n * CLASS_TERMS).reshape(n, -1)
+    out[:, LETTER_TERMS : LETTER_TERMS + CLASS_TERMS] = np.bincount((doc * CLASS_TERMS + classes)[inside], minlength=n * CLASS_TERMS).reshape(n, -1)
     low = np.where(kind == 2, code | np.uint32(0x20), code)  # only tells cases together; exact lower case isn't needed
     letter = kind <= 3
     low = np.where(letter, low, 0)
@@ -130,16 +136,15 @@ def fit(counts: np.ndarray, labels: np.ndarray, prior: float, dimensions: int =
 
 
 def vote(model: Model, vectors: np.ndarray, neighbours: int = NEIGHBOURS, power: float = POWER, block: int = 512) -> np.ndarray:
-    """The score of each vector."""
+    """The score of each vector. Labelled vectors as near as the last of the nearest, up to rounding, all vote."""
     out = np.full(len(vectors), model.prior)
     k = min(neighbours, len(model.vectors))
     for s in range(0, len(vectors), block):
         cosine = vectors[s : s + block] @ model.vectors.T
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** power
+        least = np.partition(cosine, cosine.shape[1] - k, axis=1)[:, cosine.shape[1] - k, None]
+        weight = np.where(cosine >= least - ROUNDING, np.maximum(cosine, 0), 0).astype(np.float64) ** power
         total = weight.sum(axis=1)
-        score = (weight * model.labels[near]).sum(axis=1) / np.maximum(total, 1e-300)
-        out[s : s + block] = np.where(total > 1e-30, score, model.prior)
+        out[s : s + block] = np.where(total > 1e-30, (weight @ model.labels) / np.maximum(total, 1e-300), model.prior)
     return np.clip(out, 0, 1)
 
 
