@@ -8,8 +8,9 @@ one row at either end. Only DataFrame functions are used: one shuffle of the row
 range or a shard.
 
 An id that fills whole ranges gets a range of its own, which is dealt on by the hash of the text, so that no
-single key makes a large task. Null texts have size 1; equal rows are interchangeable; an empty table gives
-an empty result; columns of the input other than those carried are ignored, whatever their names.
+single key makes a large task. Null texts have size 1; equal rows are interchangeable; texts are measured whole;
+an empty table gives an empty result. Columns of the input other than those carried are ignored, whatever their
+names; a carried column with the name of one of the result's own columns gets an underscore in front.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import quoted, shuffle_partitions
 
 #: Parts that a range holding a single id is dealt into.
 PARTS = 64
 LARGEST = 2**63 - 1
+RESULT = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def _range_of(key: Column, edges: list[int]) -> Column:
@@ -55,7 +57,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, *, carry: tuple[str, ...
         (F.octet_length(text).cast("long") + 1).alias("_size"),
         F.crc32(text.cast("binary")).alias("_crc"),
         F.xxhash64(text).alias("_tie"),
-        *[F.col(c).alias(f"_carry_{c}") for c in carry],
+        *[c.alias(f"_carry_{i}") for i, c in enumerate(quoted(list(carry)))],
     ).withColumn("_range", F.when(F.col("_id").isNull(), -1).otherwise(_range_of(F.col("_id"), edges)))
     split = F.col("_range") == -1
     if alone:
@@ -81,10 +83,17 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, *, carry: tuple[str, ...
         .withColumn("_at", F.col("_rows_before") + F.col("_nth") - 1)
         .withColumn("shard", F.expr(f"cast(_first_byte * {int(n_shards)} div _total as int)"))
     )
+    used, names = {c.lower() for c in (*RESULT, *carry) if c in RESULT or c.lower() not in RESULT}, []
+    for c in carry:
+        name = c
+        while name.lower() in RESULT or (name != c and name.lower() in used):
+            name = f"_{name}"
+        used.add(name.lower())
+        names.append(name)
     starts = placed.groupBy("shard").agg(F.min("_at").alias("_start"))  # one row a shard
     return placed.join(F.broadcast(starts), "shard").select(
         F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", (F.col("_at") - F.col("_start")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
-        *[F.col(f"_carry_{c}").alias(c) for c in carry],
+        *[F.col(f"_carry_{i}").alias(name) for i, name in enumerate(names)],
     )
