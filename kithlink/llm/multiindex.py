@@ -5,7 +5,7 @@ most ``SAMPLE`` different vectors (the first by a hash of their ids). The number
 root of the number of vectors, ``PER_ROOT`` times it, up to ``MOST_CENTROIDS``. Every vector is an entry of the cell
 of its two nearest centroids. A query ranks cells by summed distance, the distance of a half to a centroid being
 their inner product with its sign turned, so that it is the ranking's own measure whatever the vectors' lengths. A
-heap that holds the next cell of each first centroid gives the cells in this order; cells without entries are
+heap that holds the next run of cells of each first centroid gives the cells in this order; cells without entries are
 passed over. It stops at the cell with which ``SHARE`` of all different vectors are seen, at every size of table (and
 one vector more than neighbours are asked for, so that so many can be found where there are so many).
 The entries of the cells seen are reranked by their exact inner product with the query, in double precision.
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, shuffle_partitions
 
 NEIGHBOURS = 20
 PER_ROOT = 8
@@ -48,6 +48,8 @@ ENTRY_BLOCK = 8192
 QUERY_BLOCK = 4096
 #: Groups of first centroids that are searched together.
 GROUPS = 16
+#: Cells of one first centroid that are taken from the heap at a time.
+RUN = 32
 #: Cells as far as the last one seen count as seen, whatever the order in which a product was summed.
 SLACK = 1e-9
 
@@ -99,32 +101,46 @@ def k_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 11) -> np.
     return centroids
 
 
-def reach(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float) -> tuple[float, np.ndarray]:
+def reach(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float, run: int = RUN) -> tuple[float, np.ndarray]:
     """The summed distance of the cell with which the nearest cells hold ``enough`` entries, and the first centroids of the cells up to there.
 
-    ``first`` and ``second`` are one query's distances, ``counts`` the entries of each cell. The heap holds, for each
-    first centroid, its nearest cell not yet taken that has entries.
+    ``first`` and ``second`` are one query's distances, ``counts`` the entries of each cell. The cells of a first centroid that have entries are
+    taken in the order of distance, ``run`` at a time; the heap holds the first of each centroid's next run. Once what was taken holds enough, the
+    sorted sums tell where; further runs are taken until the heap's least is beyond that.
     """
     by_second = np.argsort(second, kind="stable")
-    line, place = np.nonzero(counts[:, by_second])
+    line, place = np.nonzero((counts > 0)[:, by_second])
     if not len(line):
         return -np.inf, line
-    sums = (first[line] + second[by_second[place]]).tolist()
-    held = counts[line, by_second[place]].tolist()
-    start = np.searchsorted(line, np.arange(len(first) + 1)).tolist()
-    heap = [(sums[s], s, e) for s, e in zip(start, start[1:], strict=False) if s < e]
+    place = by_second[place]
+    sums, held = first[line] + second[place], counts[line, place]
+    edges = np.searchsorted(line, np.arange(len(first) + 1)).tolist()
+    total = np.concatenate(([0.0], np.cumsum(held)))
+    heap = [(sums[s], s, e) for s, e in zip(edges, edges[1:], strict=False) if s < e]
     heapq.heapify(heap)
-    seen, last = 0.0, -np.inf
-    while heap:
-        last, at, end = heap[0]
-        seen += held[at]
-        if seen >= enough:
-            break
-        if at + 1 < end:
-            heapq.heapreplace(heap, (sums[at + 1], at + 1, end))
+    taken: list[np.ndarray] = []
+
+    def far() -> float:
+        """The sum with which the cells taken hold enough, or the largest of all."""
+        own = np.concatenate(taken)
+        own = own[np.argsort(sums[own], kind="stable")]
+        at = int(np.searchsorted(np.cumsum(held[own]), enough))
+        return float(sums[own[at]]) if at < len(own) else float(sums.max())
+
+    seen, limit = 0.0, np.inf
+    while heap and heap[0][0] <= limit:
+        _, at, end = heap[0]
+        upto = min(at + run, end)
+        taken.append(np.arange(at, upto))
+        seen += total[upto] - total[at]
+        if upto < end:
+            heapq.heapreplace(heap, (sums[upto], upto, end))
         else:
             heapq.heappop(heap)
-    return last, np.unique(line[np.asarray(sums) <= last + SLACK])
+        if seen >= enough and limit == np.inf:
+            limit = far()  # no cell beyond it is needed
+    last = far()
+    return last, np.flatnonzero(np.bincount(line[sums <= last + SLACK], minlength=len(first)))
 
 
 def usable(vector: Column) -> Column:
@@ -237,7 +253,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share:
     # repeated rows go before anything is cut to k
     clean = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where(
         F.col("vec_id").isNotNull() & usable(F.col("vector"))).dropDuplicates(["vec_id", "vector"])
-    entries, asked = clean(vectors), clean(queries)
+    entries = materialise(clean(vectors), "vectors")
+    asked = clean(queries).repartition(shuffle_partitions(spark), "vec_id")  # a query's walk takes longer than its bytes tell
     widths = sorted(r[0] for r in entries.select(F.size("vector")).distinct().collect())
     if not widths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
