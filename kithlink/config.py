@@ -7,6 +7,9 @@ from dataclasses import asdict, dataclass, field, fields
 from pathlib import Path
 
 
+# Names and defaults of the settings (training's own are explained in the README).
+
+
 @dataclass
 class BlockingConfig:
     char_ngram_range: tuple[int, int] = (3, 4)
@@ -61,6 +64,9 @@ class DecisionConfig:
     tolerance: float = 0.0005
 
 
+# End of the fixed values.
+
+
 @dataclass
 class Config:
     blocking: BlockingConfig = field(default_factory=BlockingConfig)

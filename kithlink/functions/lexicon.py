@@ -5,139 +5,139 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-# Results depend on these lists word for word. Each line is a canonical form and its variants.
+# Results depend on these lists word for word. The tables map a canonical form to its variants.
 
 #: Values that stand for a missing text, trimmed and lower-cased.
 MISSING = ("", "nan", "none", "null", "na", "n/a", "n.a", "n.a.", "-", "--", "?", "unknown", "not available", "not applicable", "nil")
 
 #: Legal forms; they leave a name only from its end.
-LEGAL = """
-inc: inc incorporated incorp
-corp: corp corporation corpn
-co: co company cos cie compagnie
-ltd: ltd limited ltda
-llc: llc lc
-llp: llp
-lp: lp
-plc: plc
-pllc: pllc
-pc: pc
-pvt: pvt private pte prvt p
-opc: opc
-gmbh: gmbh
-ag: ag
-kg: kg
-bv: bv
-nv: nv
-srl: srl
-spa: spa
-sarl: sarl
-sas: sas
-sasu: sasu
-sa: sa
-eurl: eurl
-snc: snc
-sci: sci
-selarl: selarl
-scp: scp
-pty: pty
-"""
+LEGAL = {
+    "inc": ("inc", "incorporated", "incorp"),
+    "corp": ("corp", "corporation", "corpn"),
+    "co": ("co", "company", "cos", "cie", "compagnie"),
+    "ltd": ("ltd", "limited", "ltda"),
+    "llc": ("llc", "lc"),
+    "llp": ("llp",),
+    "lp": ("lp",),
+    "plc": ("plc",),
+    "pllc": ("pllc",),
+    "pc": ("pc",),
+    "pvt": ("pvt", "private", "pte", "prvt", "p"),
+    "opc": ("opc",),
+    "gmbh": ("gmbh",),
+    "ag": ("ag",),
+    "kg": ("kg",),
+    "bv": ("bv",),
+    "nv": ("nv",),
+    "srl": ("srl",),
+    "spa": ("spa",),
+    "sarl": ("sarl",),
+    "sas": ("sas",),
+    "sasu": ("sasu",),
+    "sa": ("sa",),
+    "eurl": ("eurl",),
+    "snc": ("snc",),
+    "sci": ("sci",),
+    "selarl": ("selarl",),
+    "scp": ("scp",),
+    "pty": ("pty",),
+}
 
 #: Business words.
-BUSINESS = """
-international: intl internatl
-manufacturing: mfg
-manufacturers: mfrs
-manufacturer: mfr
-services: svc svcs srvcs servs
-associates: assoc assocs
-brothers: bros
-national: natl
-management: mgmt mgt
-department: dept
-university: univ
-hospital: hosp
-center: ctr centre cntr
-group: grp
-systems: sys
-technologies: tech techs technology
-solutions: soln solns
-enterprises: ent ents entp
-industries: ind inds
-engineering: engg engr
-pharmaceuticals: pharma pharmaceutical
-laboratories: labs lab laboratory
-marketing: mktg
-distributors: distr distrib
-construction: constr const
-medical: med
-jewellers: jewelers jeweler jeweller
-sri: shree shri sree shre
-restaurant: restaurants rest
-holdings: hldgs hldg
-investments: invts inv
-financial: fin finl
-agency: agcy
-insurance: ins
-trading: trdg trd
-builders: bldrs
-"""
+BUSINESS = {
+    "international": ("intl", "internatl"),
+    "manufacturing": ("mfg",),
+    "manufacturers": ("mfrs",),
+    "manufacturer": ("mfr",),
+    "services": ("svc", "svcs", "srvcs", "servs"),
+    "associates": ("assoc", "assocs"),
+    "brothers": ("bros",),
+    "national": ("natl",),
+    "management": ("mgmt", "mgt"),
+    "department": ("dept",),
+    "university": ("univ",),
+    "hospital": ("hosp",),
+    "center": ("ctr", "centre", "cntr"),
+    "group": ("grp",),
+    "systems": ("sys",),
+    "technologies": ("tech", "techs", "technology"),
+    "solutions": ("soln", "solns"),
+    "enterprises": ("ent", "ents", "entp"),
+    "industries": ("ind", "inds"),
+    "engineering": ("engg", "engr"),
+    "pharmaceuticals": ("pharma", "pharmaceutical"),
+    "laboratories": ("labs", "lab", "laboratory"),
+    "marketing": ("mktg",),
+    "distributors": ("distr", "distrib"),
+    "construction": ("constr", "const"),
+    "medical": ("med",),
+    "jewellers": ("jewelers", "jeweler", "jeweller"),
+    "sri": ("shree", "shri", "sree", "shre"),
+    "restaurant": ("restaurants", "rest"),
+    "holdings": ("hldgs", "hldg"),
+    "investments": ("invts", "inv"),
+    "financial": ("fin", "finl"),
+    "agency": ("agcy",),
+    "insurance": ("ins",),
+    "trading": ("trdg", "trd"),
+    "builders": ("bldrs",),
+}
 
 NAME_STOP = ("the", "and", "of", "et", "de", "la", "le", "les", "du", "des", "d", "l", "a", "an", "und", "for", "at", "in", "on", "by")
 NAME_LEADING = ("ms", "messrs", "mr", "mrs", "the")
 
 #: Address words.
-STREET = """
-st: street str saint
-ste: suite sainte
-rd: road marg
-ave: avenue av aven
-blvd: boulevard bd bld boul bvd
-dr: drive
-ln: lane
-ct: court crt
-pl: place
-plz: plaza
-sq: square
-hwy: highway hiway
-pkwy: parkway
-cir: circle
-fl: floor flr
-bldg: building bldng
-apt: apartment appt
-nr: near
-opp: opposite opst
-bhd: behind
-bsd: beside besides
-adj: adjacent
-n: north
-s: south
-e: east
-w: west
-ne: northeast
-nw: northwest
-se: southeast
-sw: southwest
-sec: sector
-ph: phase
-dist: district distt
-bazar: bazaar
-chowk: chauk
-nagar: ngr
-colony: col
-ch: chemin
-all: allee
-imp: impasse
-rte: route
-fbg: faubourg
-mt: mount
-ft: fort
-ctr: center centre cntr
-gali: galli
-taluk: taluka tq
-no: number num nos hno
-rue: r
-"""
+STREET = {
+    "st": ("street", "str", "saint"),
+    "ste": ("suite", "sainte"),
+    "rd": ("road", "marg"),
+    "ave": ("avenue", "av", "aven"),
+    "blvd": ("boulevard", "bd", "bld", "boul", "bvd"),
+    "dr": ("drive",),
+    "ln": ("lane",),
+    "ct": ("court", "crt"),
+    "pl": ("place",),
+    "plz": ("plaza",),
+    "sq": ("square",),
+    "hwy": ("highway", "hiway"),
+    "pkwy": ("parkway",),
+    "cir": ("circle",),
+    "fl": ("floor", "flr"),
+    "bldg": ("building", "bldng"),
+    "apt": ("apartment", "appt"),
+    "nr": ("near",),
+    "opp": ("opposite", "opst"),
+    "bhd": ("behind",),
+    "bsd": ("beside", "besides"),
+    "adj": ("adjacent",),
+    "n": ("north",),
+    "s": ("south",),
+    "e": ("east",),
+    "w": ("west",),
+    "ne": ("northeast",),
+    "nw": ("northwest",),
+    "se": ("southeast",),
+    "sw": ("southwest",),
+    "sec": ("sector",),
+    "ph": ("phase",),
+    "dist": ("district", "distt"),
+    "bazar": ("bazaar",),
+    "chowk": ("chauk",),
+    "nagar": ("ngr",),
+    "colony": ("col",),
+    "ch": ("chemin",),
+    "all": ("allee",),
+    "imp": ("impasse",),
+    "rte": ("route",),
+    "fbg": ("faubourg",),
+    "mt": ("mount",),
+    "ft": ("fort",),
+    "ctr": ("center", "centre", "cntr"),
+    "gali": ("galli",),
+    "taluk": ("taluka", "tq"),
+    "no": ("number", "num", "nos", "hno"),
+    "rue": ("r",),
+}
 
 ADDRESS_DROP = ("cedex",)
 ADDRESS_STOP = (
@@ -164,17 +164,13 @@ DOING_BUSINESS_AS = (
 # End of the fixed values.
 
 
-def variants(lists: str) -> dict[str, str]:
+def variants(table: dict[str, tuple[str, ...]]) -> dict[str, str]:
     """Variant to canonical form."""
-    found = {}
-    for line in lists.strip().splitlines():
-        canonical, words = line.split(":")
-        found |= dict.fromkeys(words.split(), canonical)
-    return found
+    return {word: canonical for canonical, words in table.items() for word in words}
 
 
 def legal_forms() -> tuple[str, ...]:
-    return tuple(dict.fromkeys(variants(LEGAL).values()))
+    return tuple(LEGAL)
 
 
 def name_variants() -> dict[str, str]:

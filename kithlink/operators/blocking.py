@@ -1,23 +1,38 @@
 """Candidate generation: seven blockers, their union with provenance bits, scores and pruning.
 
+Neighbours are exact. S1 records and targets are dealt into blocks, each pair of blocks is one sparse product in an
+Arrow batch, and of its scores only the best of each record, and those of pairs that other blockers found, leave it:
+no table of all pairs is stored or shuffled. What leaves is ranked once more over all blocks, in one partitioning.
+
 Limits hold for each S1 record and target source apart. Ties go to the smaller t_id; similarities are rounded to
 ``DIGITS`` before they are ranked, so that the order of summation doesn't decide.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BlockingConfig
-from ..session import stored
+from ..functions import text
+from ..session import shuffle_partitions, stored
 from . import vectors
 
+# Names of output columns, in the order of their bits.
 BLOCKERS = ("b_name", "b_addr", "b_comb", "b_rare", "b_key", "b_postal", "b_acr")
 BIT = {b: 1 << i for i, b in enumerate(BLOCKERS)}
+# End of the fixed values.
 DIGITS = 9
+#: Most records of a block, and rows of it that are multiplied at a time.
+S1_BLOCK = 2048
+TARGET_BLOCK = 8192
+TILE = 256
+#: Terms in more than one of so many targets of a block are multiplied as dense rows.
+DENSE = 12
 
 
 def sides(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -31,28 +46,161 @@ def top_k(scored: DataFrame, score: str, k: int, least: float = 0.0) -> DataFram
     return scored.where(F.col(score) > least).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def tagged_postings(records: DataFrame, fields: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Postings of several fields in one table per side."""
-    source = records.select("entity_id", F.col("source").alias("src"))
-    every = reduce(DataFrame.unionByName, [p.withColumn("field", F.lit(f)) for f, p in fields.items()]).join(source, "entity_id")
-    left = every.where("src = 'S1'").select(F.col("entity_id").alias("s1_id"), "field", "term", F.col("weight").alias("w1"))
-    right = every.where("src <> 'S1'").select(F.col("entity_id").alias("t_id"), "src", "field", "term", F.col("weight").alias("w2"))
-    return left, right
-
-
-def similarities(records: DataFrame, name: DataFrame, address: DataFrame, weight: float) -> DataFrame:
-    """s1_id, t_id, src, name_cos, addr_cos and comb of all pairs that share a term: one equi-join, one aggregate."""
-    left, right = tagged_postings(records, {"n": name, "a": address})
-    product = F.col("w1") * F.col("w2")
-    summed = lambda f: F.round(F.coalesce(F.sum(F.when(F.col("field") == f, product)), F.lit(0.0)), DIGITS)
-    pairs = left.join(right, ["field", "term"]).groupBy("s1_id", "t_id", "src").agg(summed("n").alias("name_cos"), summed("a").alias("addr_cos"))
-    return pairs.withColumn("comb", F.round(weight * F.col("name_cos") + (1 - weight) * F.col("addr_cos"), DIGITS))
+def _terms(low: int, high: int):
+    """Hashed character n-grams; which ones is of no matter here."""
+    return lambda c: F.transform(text.char_grams(c, low, high), lambda g: F.xxhash64(g))
 
 
-def knn(similar: DataFrame, config: BlockingConfig) -> DataFrame:
-    """The fused neighbours by name, by address and by both, as bits."""
-    part = lambda score, k, b: top_k(similar, score, k).select("s1_id", "t_id", "src", F.lit(BIT[b]).alias("bit"))
-    return part("name_cos", config.name_k, "b_name").unionByName(part("addr_cos", config.address_k, "b_addr")).unionByName(part("comb", config.combined_k, "b_comb"))
+def record_vectors(records: DataFrame, config: BlockingConfig) -> DataFrame:
+    """entity_id and src with the term hashes and the (not yet scaled) weights of name and address; of retrieval too where it has settings of its own."""
+    low, high = config.char_ngram_range
+    fields = {"n": ("name_core", low, high, 1.0), "a": ("addr_core", low, high, 1.0)}
+    if own_retrieval(config):
+        low, high = config.retrieval_ngram_range
+        fields |= {"rn": ("name_core", low, high, config.retrieval_max_df), "ra": ("addr_core", low, high, config.retrieval_max_df)}
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), _terms(low, high)(F.col(c)).alias("terms")) for f, (c, low, high, _) in fields.items()]))
+    terms = records.select("entity_id", each.alias("x")).select("entity_id", "x.field", F.explode("x.terms").alias("term"))
+    counts = terms.groupBy("entity_id", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
+    total = F.broadcast(records.agg(F.count(F.lit(1)).alias("n")))  # one row
+    most = reduce(lambda out, f: F.when(F.col("field") == f, F.lit(fields[f][3])).otherwise(out), fields, F.lit(1.0))
+    df = counts.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")).join(total).where((F.col("df") >= config.char_min_df) & (F.col("df") <= most * F.col("n")))
+    weight = (1.0 + F.log("tf")) * (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
+    weights = counts.join(df, ["field", "term"]).select("entity_id", "field", "term", weight.alias("w"))
+    own = lambda f, c: F.collect_list(F.when(F.col("field") == f, F.col(c)))
+    lists = weights.groupBy("entity_id").agg(*[own(f, c).alias(f"{f}_{c}") for f in fields for c in ("term", "w")])
+    empty = {"term": F.array().cast("array<long>"), "w": F.array().cast("array<double>")}
+    out = records.select("entity_id", F.col("source").alias("src")).join(lists, "entity_id", "left")
+    return out.select("entity_id", "src", *[F.coalesce(f"{f}_{c}", empty[c]).alias(f"{f}_{c}") for f in fields for c in ("term", "w")])
+
+
+def own_retrieval(config: BlockingConfig) -> bool:
+    """Whether neighbours are searched with other vectors than they are scored with."""
+    return config.retrieval_max_df < 1.0 or tuple(config.retrieval_ngram_range) != tuple(config.char_ngram_range)
+
+
+class _Rows:
+    """The unit vectors of some records: term, weight and row of each component."""
+
+    def __init__(self, terms, weights):
+        size = np.array([len(t) for t in terms])
+        self.n = len(size)
+        self.term = np.concatenate([*terms, np.zeros(0, np.int64)]).astype(np.int64)
+        self.row = np.repeat(np.arange(self.n), size)
+        w = np.concatenate([*weights, np.zeros(0)]).astype(np.float64)
+        length = np.sqrt(np.bincount(self.row, w * w, self.n))
+        self.weight = w / np.maximum(length, 1e-300)[self.row]
+        self.edge = np.concatenate(([0], np.cumsum(size)))
+
+
+class _Targets:
+    """Targets' vectors by term: dense rows of common terms, postings of the others."""
+
+    def __init__(self, rows: _Rows):
+        self.n = rows.n
+        self.term, at = np.unique(rows.term, return_inverse=True)
+        df = np.bincount(at, minlength=len(self.term))
+        common = df * DENSE > self.n
+        self.dense_row = np.where(common, np.cumsum(common) - 1, -1)
+        self.dense = np.zeros((int(common.sum()), self.n))
+        held = common[at]
+        self.dense[self.dense_row[at[held]], rows.row[held]] = rows.weight[held]
+        order = np.argsort(at[~held], kind="stable")
+        self.column, self.weight = rows.row[~held][order], rows.weight[~held][order]
+        self.size = np.where(common, 0, df)
+        self.start = np.cumsum(self.size) - self.size
+
+    def scores(self, rows: _Rows, s: int, e: int) -> np.ndarray:
+        """The products of the rows s to e with all targets, rounded."""
+        span = slice(rows.edge[s], rows.edge[e])
+        term, row, weight = rows.term[span], rows.row[span] - s, rows.weight[span]
+        at = np.minimum(np.searchsorted(self.term, term), max(len(self.term) - 1, 0))
+        known = self.term[at] == term if len(self.term) else np.zeros(len(term), bool)
+        at, row, weight = at[known], row[known], weight[known]
+        left = np.zeros((e - s, len(self.dense)))
+        dense = self.dense_row[at] >= 0
+        left[row[dense], self.dense_row[at[dense]]] = weight[dense]
+        out = left @ self.dense
+        size = self.size[at]
+        total = int(size.sum())
+        if total:
+            # each component meets the postings of its term
+            place = np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.start[at], size)
+            cell = np.repeat(row * self.n, size) + self.column[place]
+            out += np.bincount(cell, np.repeat(weight, size) * self.weight[place], out.size).reshape(out.shape)
+        return np.round(out, DIGITS)
+
+
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k best positive scores of each row; ties to the first columns."""
+    n = scores.shape[1]
+    least = np.partition(scores, n - k, axis=1)[:, n - k, None] if k < n else np.zeros((len(scores), 1))
+    row, column = np.nonzero((scores >= least) & (scores > 0))
+    order = np.lexsort((column, -scores[row, column], row))
+    row, column = row[order], column[order]
+    nth = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[nth < k], column[nth < k]
+
+
+NEAR = "s1_id string, t_id string, src string, found int, name_cos double, addr_cos double, name_near double, addr_near double"
+
+
+def _near(rows: pd.DataFrame, pairs: pd.DataFrame, ks: tuple[int, int, int], weight: float, retrieval: bool) -> pd.DataFrame:
+    """Of a block of S1 records and one of targets: each record's best targets by name, address and both, and all given pairs, with their scores."""
+    names = [x.split()[0] for x in NEAR.split(", ")]
+    own = rows.sort_values("entity_id", kind="stable")
+    left, right = own[own["src"] == "S1"], own[own["src"] != "S1"]
+    if not len(left) or not len(right):
+        return pd.DataFrame({c: [] for c in names})
+    source, ids, t_ids = right["src"].iloc[0], left["entity_id"].to_numpy(), right["entity_id"].to_numpy()
+    fields = ["n", "a", *(["rn", "ra"] if retrieval else [])]
+    vectors_of = lambda df, f: _Rows(df[f"{f}_term"].tolist(), df[f"{f}_w"].tolist())
+    queries, targets = {f: vectors_of(left, f) for f in fields}, {f: _Targets(vectors_of(right, f)) for f in fields}
+    given_row, given_column = pd.Index(ids).get_indexer(pairs["s1_id"]), pd.Index(t_ids).get_indexer(pairs["t_id"])
+    given_bits = pairs["found"].to_numpy()
+    out = []
+    for s in range(0, len(ids), TILE):
+        e = min(s + TILE, len(ids))
+        score = {f: targets[f].scores(queries[f], s, e) for f in fields}
+        near = (score["rn"], score["ra"]) if retrieval else (score["n"], score["a"])
+        both = np.round(weight * near[0] + (1 - weight) * near[1], DIGITS)
+        cells = [r * len(t_ids) + c for r, c in (_best(x, k) for x, k in zip((*near, both), ks, strict=True) if k > 0)]
+        inside = (given_row >= s) & (given_row < e) & (given_column >= 0)
+        asked = (given_row[inside] - s) * len(t_ids) + given_column[inside]
+        cell = np.unique(np.concatenate([*cells, asked, np.zeros(0, np.int64)]).astype(np.int64))
+        found = np.zeros(len(cell), np.int64)
+        found[np.searchsorted(cell, asked)] = given_bits[inside]
+        r, c = cell // len(t_ids), cell % len(t_ids)
+        out.append(pd.DataFrame(dict(zip(names, (
+            ids[s:e][r], t_ids[c], source, found, score["n"][r, c], score["a"][r, c], near[0][r, c], near[1][r, c]), strict=True))))
+    return pd.concat(out)
+
+
+def near_pairs(records: DataFrame, config: BlockingConfig, given: DataFrame | None = None) -> DataFrame:
+    """Each S1 record's nearest targets, and the ``given`` pairs (s1_id, t_id, src, found): scores, and the ranks by name, address and both."""
+    spark = records.sparkSession
+    rows = stored(record_vectors(records, config), "vectors")
+    sizes = {r["src"]: r["count"] for r in rows.groupBy("src").count().collect()}  # one row a source
+    if given is None:
+        given = spark.createDataFrame([], "s1_id string, t_id string, src string, found int")
+    n_s1 = sizes.pop("S1", 0)
+    left_blocks = max(1, -(-n_s1 // S1_BLOCK), min(shuffle_partitions(spark), n_s1 // TILE))
+    right_blocks = {s: max(1, -(-n // TARGET_BLOCK)) for s, n in sizes.items()}
+    block = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    blocks_of = reduce(lambda out, s: F.when(F.col("src") == s, F.lit(right_blocks[s])).otherwise(out), right_blocks, F.lit(1))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    # S1 blocks meet the blocks of every source, each target block every S1 block
+    sources = spark.createDataFrame([(s, n) for s, n in right_blocks.items()], "of string, n int")
+    one = rows.where("src = 'S1'").join(F.broadcast(sources)).withColumn("b1", block("entity_id", F.lit(left_blocks))).withColumn("b2", every(F.col("n"))).drop("n")
+    two = rows.where("src <> 'S1'").withColumn("of", F.col("src")).withColumn("b2", block("entity_id", blocks_of)).withColumn("b1", every(F.lit(left_blocks)))
+    pairs = given.withColumn("b1", block("s1_id", F.lit(left_blocks))).withColumn("of", F.col("src")).withColumn("b2", block("t_id", blocks_of))
+    keys = ["b1", "of", "b2"]
+    ks = (config.name_k, config.address_k, config.combined_k)
+    near = one.unionByName(two).groupBy(*keys).cogroup(pairs.groupBy(*keys)).applyInPandas(
+        partial(_near, ks=ks, weight=config.combined_name_weight, retrieval=own_retrieval(config)), NEAR)
+    both = F.round(config.combined_name_weight * F.col("name_near") + (1 - config.combined_name_weight) * F.col("addr_near"), DIGITS)
+    rank = lambda c: F.row_number().over(Window.partitionBy("s1_id", "src").orderBy(F.desc(c), "t_id"))
+    ranked = near.withColumn("comb", both)
+    return ranked.select("*", rank("name_near").alias("name_rank"), rank("addr_near").alias("addr_rank"), rank("comb").alias("comb_rank"))
 
 
 def _ids(df: DataFrame, name: str) -> DataFrame:
@@ -90,15 +238,13 @@ def exact_key_pairs(records: DataFrame, config: BlockingConfig) -> DataFrame:
     return _keys(s1, "s1_id").join(small, ["kind", "key"]).join(right, ["src", "kind", "key"]).select("s1_id", "t_id", "src").distinct()
 
 
-def postal_pairs(records: DataFrame, name_postings: DataFrame, config: BlockingConfig) -> DataFrame:
-    """Pairs that share a postal code: for each S1 record the best by name cosine."""
+def shared_postal(records: DataFrame, config: BlockingConfig) -> DataFrame:
+    """Pairs that share a postal code; a code of more targets of a source than the limit is ignored whole."""
     s1, targets = sides(records)
     right = _ids(targets, "t_id").select("t_id", "src", F.explode(F.array_distinct("addr_postal")).alias("code"))
     small = right.groupBy("src", "code").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= config.postal_max_bucket).drop("n")
     left = _ids(s1, "s1_id").select("s1_id", F.explode(F.array_distinct("addr_postal")).alias("code"))
-    pairs = left.join(small, "code").join(right, ["src", "code"]).select("s1_id", "t_id", "src").distinct()
-    scored = vectors.pair_dot(pairs, name_postings, "cos").withColumn("cos", F.round("cos", DIGITS))
-    return top_k(scored, "cos", config.postal_k, config.postal_min_cosine).select("s1_id", "t_id", "src")
+    return left.join(small, "code").join(right, ["src", "code"]).select("s1_id", "t_id", "src").distinct()
 
 
 def acronym_pairs(records: DataFrame, config: BlockingConfig) -> DataFrame:
@@ -117,11 +263,31 @@ def acronym_pairs(records: DataFrame, config: BlockingConfig) -> DataFrame:
     return own(acronym).join(heads(alphabetic), "key").unionByName(own(single).join(heads(acronym), "key")).select("s1_id", "t_id", "src").distinct()
 
 
-def union_bits(tagged: DataFrame) -> DataFrame:
-    """One row a pair, with all blockers that found it."""
-    bits = tagged.groupBy("s1_id", "t_id", "src").agg(F.bit_or("bit").alias("bits"))
-    flags = [(F.col("bits").bitwiseAND(F.lit(BIT[b])) != 0).cast("int").alias(b) for b in BLOCKERS]
-    return bits.select("s1_id", "t_id", "src", "bits", *flags, F.bit_count("bits").alias("n_blocks"))
+def other_pairs(records: DataFrame, config: BlockingConfig) -> DataFrame:
+    """One row a pair that blockers without vectors found, with their bits; postal codes are still to be ranked."""
+    tag = lambda df, b: df.select("s1_id", "t_id", "src", F.lit(BIT[b]).alias("bit"))
+    found = tag(rare_token_pairs(records, config), "b_rare")
+    if config.use_exact_keys:
+        found = found.unionByName(tag(exact_key_pairs(records, config), "b_key"))
+    if config.use_postal_block:
+        found = found.unionByName(tag(shared_postal(records, config), "b_postal"))
+    if config.use_acronym_block:
+        found = found.unionByName(tag(acronym_pairs(records, config), "b_acr"))
+    return found.groupBy("s1_id", "t_id", "src").agg(F.bit_or("bit").alias("found"))
+
+
+def union_bits(near: DataFrame, config: BlockingConfig) -> DataFrame:
+    """``near_pairs`` that some blocker found, with all that did: bits, a flag each, and their number."""
+    postal = F.col("found").bitwiseAND(F.lit(BIT["b_postal"])) != 0
+    close = postal & (F.col("name_cos") > config.postal_min_cosine)
+    nth = F.row_number().over(Window.partitionBy("s1_id", "src").orderBy(F.desc(close), F.desc("name_cos"), "t_id"))
+    tests = {
+        "b_name": (F.col("name_near") > 0) & (F.col("name_rank") <= config.name_k), "b_addr": (F.col("addr_near") > 0) & (F.col("addr_rank") <= config.address_k),
+        "b_comb": (F.col("comb") > 0) & (F.col("comb_rank") <= config.combined_k), "b_postal": close & (F.col("_postal") <= config.postal_k)}
+    flags = {b: tests.get(b, F.col("found").bitwiseAND(F.lit(BIT[b])) != 0).cast("int") for b in BLOCKERS}
+    bits = reduce(Column.__add__, [flag * BIT[b] for b, flag in flags.items()])
+    out = near.withColumn("_postal", nth).select("s1_id", "t_id", "src", bits.alias("bits"), *[v.alias(b) for b, v in flags.items()], "name_cos", "addr_cos")
+    return out.where("bits <> 0").withColumn("n_blocks", F.bit_count("bits"))
 
 
 def cheap_score(name_cos: Column, addr_cos: Column, name_missing: Column, addr_missing: Column, weight: float = 0.6) -> Column:
@@ -129,16 +295,12 @@ def cheap_score(name_cos: Column, addr_cos: Column, name_missing: Column, addr_m
     return F.when(name_missing, addr_cos).when(addr_missing, name_cos).otherwise(weight * name_cos + (1 - weight) * addr_cos)
 
 
-def add_scores(pairs: DataFrame, records: DataFrame, name: DataFrame, address: DataFrame, weight: float) -> DataFrame:
-    """Exact cosines and the cheap score of each pair."""
-    scored = vectors.pair_dot(vectors.pair_dot(pairs, name, "name_cos"), address, "addr_cos")
+def with_cheap(pairs: DataFrame, records: DataFrame, weight: float) -> DataFrame:
+    """``pairs`` with the cheap score."""
     flags = records.select("entity_id", "name_missing", "addr_missing")
-    one = flags.toDF("s1_id", "_n1", "_a1")
-    two = flags.toDF("t_id", "_n2", "_a2")
-    scored = scored.join(one, "s1_id").join(two, "t_id")
-    rounded = scored.withColumn("name_cos", F.round("name_cos", DIGITS)).withColumn("addr_cos", F.round("addr_cos", DIGITS))
+    scored = pairs.join(flags.toDF("t_id", "_n2", "_a2"), "t_id").join(flags.toDF("s1_id", "_n1", "_a1"), "s1_id")
     cheap = cheap_score(F.col("name_cos"), F.col("addr_cos"), F.col("_n1") | F.col("_n2"), F.col("_a1") | F.col("_a2"), weight)
-    return rounded.withColumn("cheap", F.round(cheap, DIGITS)).drop("_n1", "_a1", "_n2", "_a2")
+    return scored.withColumn("cheap", F.round(cheap, DIGITS)).drop("_n1", "_a1", "_n2", "_a2")
 
 
 def prune(scored: DataFrame, config: BlockingConfig) -> DataFrame:
@@ -154,38 +316,12 @@ def prune(scored: DataFrame, config: BlockingConfig) -> DataFrame:
     return ranked.where(keep).drop("_c", "_n", "_a")
 
 
-def retrieval_postings(records: DataFrame, config: BlockingConfig, name: DataFrame, address: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The vectors for neighbour search: the scoring ones unless retrieval has settings of its own."""
-    if config.retrieval_max_df >= 1.0 and tuple(config.retrieval_ngram_range) == tuple(config.char_ngram_range):
-        return name, address
-    low, high = config.retrieval_ngram_range
-    own = lambda c: vectors.char_tfidf(records, c, low, high, config.char_min_df, config.retrieval_max_df)
-    return own("name_core"), own("addr_core")
-
-
-def char_vectors(records: DataFrame, config: BlockingConfig) -> tuple[DataFrame, DataFrame]:
-    low, high = config.char_ngram_range
-    return tuple(vectors.char_tfidf(records, c, low, high, config.char_min_df) for c in ("name_core", "addr_core"))
-
-
-def union_pairs(records: DataFrame, config: BlockingConfig, postings: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The union of all blockers, and the postings of name and address."""
-    name, address = postings or tuple(stored(p, "postings") for p in char_vectors(records, config))
-    near = similarities(records, *retrieval_postings(records, config, name, address), config.combined_name_weight)
-    near = stored(near, "similar")  # ranked three times
-    tag = lambda df, b: df.select("s1_id", "t_id", "src", F.lit(BIT[b]).alias("bit"))
-    found = knn(near, config).unionByName(tag(rare_token_pairs(records, config), "b_rare"))
-    if config.use_exact_keys:
-        found = found.unionByName(tag(exact_key_pairs(records, config), "b_key"))
-    if config.use_postal_block:
-        found = found.unionByName(tag(postal_pairs(records, name, config), "b_postal"))
-    if config.use_acronym_block:
-        found = found.unionByName(tag(acronym_pairs(records, config), "b_acr"))
-    return union_bits(found), name, address
+def union_pairs(records: DataFrame, config: BlockingConfig) -> DataFrame:
+    """The union of all blockers with both cosines of each pair, not pruned."""
+    return union_bits(near_pairs(records, config, other_pairs(records, config)), config)
 
 
-def generate_candidates(records: DataFrame, config: BlockingConfig | None = None, postings: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def generate_candidates(records: DataFrame, config: BlockingConfig | None = None) -> DataFrame:
     """All blockers, their union, scores and pruning."""
     config = config or BlockingConfig()
-    found, name, address = union_pairs(records, config, postings)
-    return prune(add_scores(stored(found, "pairs"), records, name, address, config.combined_name_weight), config)
+    return prune(with_cheap(union_pairs(records, config), records, config.combined_name_weight), config)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity, text
@@ -84,26 +84,31 @@ def completeness(views: DataFrame) -> DataFrame:
         share(F.col("name_legal") != "").alias("legal_form"), share(F.size("name_tokens")).alias("name_tokens"), share(F.size("addr_tokens")).alias("addr_tokens"))
 
 
+def _draw(*parts: Column | str) -> Column:
+    """A number from 0 to 2^32 - 1 by the MD5 of some texts."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
+
+
 def random_negatives(views: DataFrame, truth: DataFrame, per_positive: int = 2, seed: int = 0) -> DataFrame:
     """For each true pair, random S1 records with random targets of the same source, joined by their places in a hashed order.
 
     Places are dealt in buckets of the hash, so that no source is numbered in one task.
     """
-    def numbered(df: DataFrame, name: str, salt: int, keys: list[str]) -> DataFrame:
-        h = F.xxhash64("entity_id", F.lit(seed + salt))
-        rows = df.select(F.col("entity_id").alias(name), *keys, F.pmod(h, F.lit(1024)).alias("b"), h.alias("h"))
-        return rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys, "b").orderBy("h"))).drop("h")
+    def numbered(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        h = _draw("entity_id", F.lit(f"{seed} {name}"))
+        rows = df.select(F.col("entity_id").alias(name), *keys, F.pmod(h, F.lit(256)).alias("b"), h.alias("h"))
+        return rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys, "b").orderBy("h", name))).drop("h")
 
-    s1 = numbered(views.where("source = 'S1'"), "s1_id", 1, [])
-    targets = numbered(views.where("source <> 'S1'").withColumn("src", F.col("source")), "t_id", 2, ["src"])
+    s1 = numbered(views.where("source = 'S1'"), "s1_id", [])
+    targets = numbered(views.where("source <> 'S1'").withColumn("src", F.col("source")), "t_id", ["src"])
     n1, n2 = s1.groupBy("b").agg(F.max("place").alias("m")), targets.groupBy("src", "b").agg(F.max("place").alias("m"))
-    draws = truth.select(F.substring("t_id", 1, 2).alias("src"), F.xxhash64("s1_id", "t_id", F.lit(seed)).alias("r"), F.explode(F.sequence(F.lit(1), F.lit(per_positive))).alias("i"))
-    b1, b2 = F.array_sort(F.collect_list(F.struct("b", "m"))), F.array_sort(F.collect_list(F.struct("b", "m")))
-    one, two = n1.agg(b1.alias("l1")), n2.groupBy("src").agg(b2.alias("l2"))  # at most 1024 buckets each
+    draws = truth.select(F.substring("t_id", 1, 2).alias("src"), "s1_id", "t_id", F.explode(F.sequence(F.lit(1), F.lit(per_positive)).cast("array<string>")).alias("i"))
+    buckets = F.array_sort(F.collect_list(F.struct("b", "m")))
+    one, two = n1.agg(buckets.alias("l1")), n2.groupBy("src").agg(buckets.alias("l2"))  # at most 256 buckets each
     drawn = draws.join(F.broadcast(two), "src").join(F.broadcast(one))
-    pick = lambda salt, top: F.pmod(F.xxhash64("r", "i", F.lit(salt)), top)
-    drawn = drawn.withColumn("x1", F.get("l1", pick(1, F.size("l1")).cast("int"))).withColumn("x2", F.get("l2", pick(2, F.size("l2")).cast("int")))
-    placed = drawn.select("src", F.col("x1.b").alias("b"), (pick(3, F.col("x1.m")) + 1).alias("place"), F.col("x2.b").alias("bt"), (pick(4, F.col("x2.m")) + 1).alias("pt"))
+    pick = lambda what, top: F.pmod(_draw("s1_id", "t_id", "i", F.lit(f"{seed} {what}")), top)
+    drawn = drawn.withColumn("x1", F.get("l1", pick("left", F.size("l1")).cast("int"))).withColumn("x2", F.get("l2", pick("right", F.size("l2")).cast("int")))
+    placed = drawn.select("src", F.col("x1.b").alias("b"), (pick("first", F.col("x1.m")) + 1).alias("place"), F.col("x2.b").alias("bt"), (pick("second", F.col("x2.m")) + 1).alias("pt"))
     found = placed.join(s1, ["b", "place"]).join(targets.withColumnsRenamed({"b": "bt", "place": "pt"}), ["src", "bt", "pt"])
     return found.select("s1_id", "t_id", "src")
 
@@ -131,3 +136,11 @@ def errors(scored: DataFrame, kept: DataFrame, records: DataFrame, n: int = 20)
     wrong = kept.where("y = 0").orderBy(F.desc("p"), "s1_id", "t_id").limit(n)
     missed = scored.where("y = 1").join(kept, ["s1_id", "t_id"], "left_anti").orderBy("p", "s1_id", "t_id").limit(n)
     return {"false_positives": pair_view(wrong, records), "false_negatives": pair_view(missed, records)}
+
+
+def unmatched_labels(pred: DataFrame, records: DataFrame, labels: DataFrame, n: int = 5) -> DataFrame:
+    """Samples of S1 records whose country label is among ``labels`` (such as those that training hasn't seen), with their matches' texts: the first n by id of each label."""
+    own = records.where("source = 'S1'").join(labels.select("country").distinct(), "country", "left_semi").select(F.col("entity_id").alias("s1_id"), "country")
+    rank = F.row_number().over(Window.partitionBy("country").orderBy("s1_id"))
+    first = own.withColumn("_nth", rank).where(F.col("_nth") <= n).select("s1_id")
+    return pair_view(first.join(pred.select("s1_id", "t_id"), "s1_id", "left"), records)

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from pathlib import Path
 
 import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ModelConfig
-from ..session import stored
+from ..session import read_text, stored, write_text
 from .features import FEATURES
 
 #: Stands for NULL, below every feature; a second column tells the two apart where a feature can be NULL.
@@ -77,12 +76,11 @@ class Matcher:
         for i, model in enumerate(self.models):
             model.write().overwrite().save(f"{folder}/model_{i}")
         calibrator = None if self.calibrator is None else vars(self.calibrator)
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        Path(folder, "matcher.json").write_text(json.dumps({"models": len(self.models), "calibrator": calibrator, "importances": self.importances}), "utf-8")
+        write_text(SparkSession.active(), f"{folder}/matcher.json", json.dumps({"models": len(self.models), "calibrator": calibrator, "importances": self.importances}))
 
     @classmethod
     def load(cls, folder: str) -> Matcher:
-        kept = json.loads(Path(folder, "matcher.json").read_text("utf-8"))
+        kept = json.loads(read_text(SparkSession.active(), f"{folder}/matcher.json"))
         models = [GBTClassificationModel.load(f"{folder}/model_{i}") for i in range(kept["models"])]
         return cls(models, Calibrator(**kept["calibrator"]) if kept["calibrator"] else None, kept["importances"])
 

@@ -12,9 +12,9 @@ from ..functions import text
 
 def token_idf(records: DataFrame, column: str) -> DataFrame:
     """term, df and smooth idf of an array column's distinct elements, over all records."""
-    n = records.count()
+    total = F.broadcast(records.agg(F.count(F.lit(1)).alias("_n")))  # one row
     df = records.select(F.explode(F.array_distinct(column)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df.withColumn("idf", F.log((F.lit(1.0) + n) / (1.0 + F.col("df"))) + 1.0)
+    return df.join(total).select("term", "df", (F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
 def tfidf(records: DataFrame, column: str, terms: Callable[[Column], Column], min_df: int = 1, max_df: float = 1.0) -> DataFrame:
@@ -23,11 +23,11 @@ def tfidf(records: DataFrame, column: str, terms: Callable[[Column], Column], mi
     Document frequencies are exact, over all records. Terms in fewer than ``min_df`` records or in more than the
     share ``max_df`` of them are left out before weights are scaled.
     """
-    n = records.count()
+    total = F.broadcast(records.agg(F.count(F.lit(1)).alias("_n")))  # one row
     counts = records.select("entity_id", F.explode(terms(F.col(column))).alias("term")).groupBy("entity_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
+    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(total).where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("_n")))
     weights = counts.join(df, "term").select(
-        "entity_id", "term", ((1.0 + F.log("tf")) * (F.log((F.lit(1.0) + n) / (1.0 + F.col("df"))) + 1.0)).alias("w"))
+        "entity_id", "term", ((1.0 + F.log("tf")) * (F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0)).alias("w"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("entity_id")))
     return weights.select("entity_id", "term", (F.col("w") / length).alias("weight"))
 

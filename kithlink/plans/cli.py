@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..session import importable
+from ..session import importable, write_text
 from ..sources import records, sinks
 from . import pipeline
 
@@ -35,9 +35,9 @@ def _train(spark, args, config):
     trained.save(args.model)
     tables = {f"{k}_{n}": t for k in ("evaluation", "blocking") for n, t in reports[k].items()}
     sinks.write_tables(tables | {"oof": reports["oof"]}, args.out, compress=True)
-    reports["policies"].to_csv(f"{args.out}/policies.csv", index=False)
+    write_text(spark, f"{args.out}/policies.csv", reports["policies"].to_csv(index=False))
     row = reports["evaluation"]["headline"].first().asDict()
-    sinks.write_report(f"{args.out}/report.json", {"headline": row, "crossfit_macro_f": reports["crossfit_macro_f"], "policy": trained.policy.describe(), "config": config.to_dict(), "importances": reports["importances"]})
+    sinks.write_report(spark, f"{args.out}/report.json", {"headline": row, "crossfit_macro_f": reports["crossfit_macro_f"], "policy": trained.policy.describe(), "config": config.to_dict(), "importances": reports["importances"]})
     print(f"policy: {trained.policy.describe()}; macro F {row['macro_f']:.5f}, cross-fitted {reports['crossfit_macro_f']:.5f}")
     return trained
 

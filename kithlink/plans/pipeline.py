@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Config, DecisionConfig
 from ..functions import text
 from ..operators import blocking, decision, explore, features, graph, matcher, metrics, normalize
-from ..session import stored
+from ..session import read_text, stored, write_text
 from ..sources import sinks
 from ..sources.records import SplitData
 
@@ -40,11 +39,11 @@ class TrainedPipeline:
 
     def save(self, folder: str) -> None:
         self.matcher.save(folder)
-        Path(folder, "pipeline.json").write_text(json.dumps({"policy": self.policy.to_dict(), "config": self.config.to_dict()}), "utf-8")
+        write_text(SparkSession.active(), f"{folder}/pipeline.json", json.dumps({"policy": self.policy.to_dict(), "config": self.config.to_dict()}))
 
     @classmethod
     def load(cls, folder: str) -> TrainedPipeline:
-        kept = json.loads(Path(folder, "pipeline.json").read_text("utf-8"))
+        kept = json.loads(read_text(SparkSession.active(), f"{folder}/pipeline.json"))
         return cls(matcher.Matcher.load(folder), decision.Policy(**kept["policy"]), Config.from_dict(kept["config"]))
 
 
@@ -64,7 +63,7 @@ def train(data: SplitData, config: Config | None = None, prepared: Prepared | No
     kept = decision.apply_policy(oof, policy, config.decision)
     n_targets = data.targets.count()
     reports = {
-        "policies": table, "policy_summary": decision.policy_summary(table), "crossfit_macro_f": crossfit, "oof": oof, "kept": kept, "folds": folds,
+        "policies": table, "policy_summary": decision.policy_summary(truth.sparkSession.createDataFrame(table)), "crossfit_macro_f": crossfit, "oof": oof, "kept": kept, "folds": folds,
         "evaluation": metrics.evaluation_report(kept, truth, spine, fold_countries(data), config.decision.beta),
         "blocking": metrics.blocking_report(prepared.candidates, truth, spine, n_targets, fold_countries(data)),
         "ranking": metrics.ranking_metrics(oof, "p_raw"), "importances": model.importances}

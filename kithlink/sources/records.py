@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 
+# Columns of the files.
 RECORD_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 SOURCES = ("S1", "S2", "S3")
+# End of the fixed values.
 #: The environment variable that names the dataset's folder, and a folder that is looked at last.
 DATA_ENV = "KITHLINK_DATA_DIR"
 
@@ -105,11 +108,15 @@ class SplitData:
         return self.s1.select(F.col("entity_id").alias("s1_id"), "country")
 
     def summary(self) -> dict[str, int]:
-        out = {s.lower(): df.count() for s, df in zip(SOURCES, (self.s1, self.s2, self.s3), strict=True)}
-        if self.ground_truth is not None:
-            truth = self.truth
-            out |= {"positive_pairs": truth.count(), "singletons": self.spine.join(truth, "s1_id", "left_anti").count()}
-        return out
+        return {r["what"]: r["n"] for r in summary_table(self).collect()}
+
+
+def summary_table(data: SplitData) -> DataFrame:
+    """what and n: records by source and, where there is a ground truth, positive pairs and singletons."""
+    parts = [(s.lower(), df) for s, df in zip(SOURCES, (data.s1, data.s2, data.s3), strict=True)]
+    if data.ground_truth is not None:
+        parts += [("positive_pairs", data.truth), ("singletons", data.spine.join(data.truth, "s1_id", "left_anti"))]
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n") for name, df in parts])
 
 
 def resolve_dataset_dir(path: str | None = None) -> Path:
@@ -138,6 +145,7 @@ def check_ground_truth(data: SplitData) -> DataFrame:
     s1, targets = data.s1.select(F.col("entity_id").alias("source1_entity_id")), data.targets.select(F.col("entity_id").alias("t_id"))
     named = gt.select(F.explode("ids").alias("t_id"))
     count = lambda df: df.agg(F.count(F.lit(1)).alias("value"))
+    # The checks' names.
     checks = [
         ("S1 ids missing from ground truth", count(s1.join(gt, "source1_entity_id", "left_anti")), True),
         ("ground-truth rows with unknown S1 id", count(gt.join(s1, "source1_entity_id", "left_anti")), True),
@@ -147,6 +155,7 @@ def check_ground_truth(data: SplitData) -> DataFrame:
         ("rows with duplicated ids inside the list", count(gt.where(F.size("ids") != F.size(F.array_distinct("ids")))), True),
         ("targets linked to >1 S1 entity", count(truth_pairs(data.ground_truth).groupBy("t_id").count().where("count > 1")), False),
     ]
+    # End of the fixed values.
     out = None
     for name, value, zero in checks:
         row = value.select(F.lit(name).alias("check"), F.col("value").cast("long").alias("value"), (F.col("value") == 0 if zero else F.lit(True)).alias("ok"))

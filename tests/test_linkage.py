@@ -199,3 +199,108 @@ def test_exact_keys_on_a_stream(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert {(r["s1_id"], r["t_id"]) for r in spark.table("linked").collect()} == {("S1-1", "S2-1")}
+
+
+def plain_near(rows, config):
+    """Every pair's cosines by dictionaries, and each record's best."""
+    def grams(words):
+        out = []
+        for w in words.split():
+            padded = f" {w} "
+            for n in (3, 4):
+                if n == 3 or len(padded) >= n:
+                    out += [padded[i : i + n] for i in range(max(len(padded) - n + 1, 1))]
+        return out
+
+    def units(column):
+        bags = {i: grams(r[column]) for i, r in rows.items()}
+        df = {}
+        for g in bags.values():
+            for t in set(g):
+                df[t] = df.get(t, 0) + 1
+        out = {}
+        for i, g in bags.items():
+            w = {t: (1 + np.log(g.count(t))) * (np.log((1 + len(rows)) / (1 + df[t])) + 1) for t in set(g) if df[t] >= config.char_min_df}
+            size = np.sqrt(sum(x * x for x in w.values()))
+            out[i] = {t: x / size for t, x in w.items()}
+        return out
+
+    name, addr = units("name_core"), units("addr_core")
+    dot = lambda a, b: round(sum(x * b[t] for t, x in a.items() if t in b), 9)
+    found = {}
+    for s in (i for i, r in rows.items() if r["source"] == "S1"):
+        for src in ("S2", "S3"):
+            near = [(t, dot(name[s], name[t]), dot(addr[s], addr[t])) for t, r in rows.items() if r["source"] == src]
+            near = [(t, n, a, round(0.6 * n + 0.4 * a, 9)) for t, n, a in near]
+            for i, k, b in ((1, config.name_k, 1), (2, config.address_k, 2), (3, config.combined_k, 4)):
+                for t, n, a, _ in sorted((x for x in near if x[i] > 0), key=lambda x: (-x[i], x[0]))[:k]:
+                    found[s, t] = (found.get((s, t), (0,))[0] | b, n, a)
+    return found
+
+
+@pytest.mark.parametrize("sizes", [(2048, 8192, 12), (7, 5, 2), (16, 300, 10**6)])
+def test_neighbours_over_blocks(spark, monkeypatch, sizes):
+    """Few or many blocks, all terms dense or none: the same neighbours, ties and copies included."""
+    from kithlink.operators import blocking
+    from kithlink.config import BlockingConfig
+
+    for name, value in zip(("S1_BLOCK", "TARGET_BLOCK", "DENSE"), sizes, strict=True):
+        monkeypatch.setattr(blocking, name, value)
+    monkeypatch.setattr(blocking, "TILE", 4)
+    rng, config = random.Random(7), BlockingConfig(char_min_df=2, name_k=5, address_k=3, combined_k=4)
+    rows = {}
+    for i in range(70):
+        words = " ".join(rng.choice(NAMES).lower() for _ in range(rng.randint(0, 3)))
+        rows[f"S{1 + i % 3}-{i}"] = {"name_core": words, "addr_core": rng.choice(["", "main road 5", f"lake drive {i}"]), "source": f"S{1 + i % 3}"}
+    table = spark.createDataFrame([(i, r["source"], r["name_core"], r["addr_core"]) for i, r in rows.items()], "entity_id string, source string, name_core string, addr_core string")
+    near = blocking.union_bits(blocking.near_pairs(table, config), config)
+    got = {(r["s1_id"], r["t_id"]): (r["bits"], r["name_cos"], r["addr_cos"]) for r in near.collect()}
+    assert got == plain_near(rows, config) and len(got) > 200
+    assert blocking.near_pairs(table.limit(0), config).count() == 0 and blocking.near_pairs(table.where("source = 'S1'"), config).count() == 0
+
+
+def test_lines_of_a_file_in_blocks(spark, tmp_path):
+    path = tmp_path / "x.tsv"
+    path.write_text("".join(f"S1-{i}\tS2-{i},S3-{i}\n" for i in range(3000)), "utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = sinks.parsed_lines(spark, str(path))
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 1
+        assert [(r["line"], r["fields"][0]) for r in lines.orderBy("line").collect()] == [(i + 1, f"S1-{i}") for i in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_violations_of_both_files(spark, tmp_path):
+    spine = spark.createDataFrame([("S1-1",), ("S1-2",)], "s1_id string")
+    targets = spark.createDataFrame([("S2-1",), ("S3-1",)], "t_id string")
+    (tmp_path / "matching_results.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-2\tS3-1\n")
+    (tmp_path / "candidate_pairs.tsv").write_text("source1_entity_id\tcandidate_entity_ids\r\nS1-1\tS2-1\r\nS1-2\r\n")
+    paths = [str(tmp_path / f) for f in ("matching_results.tsv", "candidate_pairs.tsv")]
+    errors, warnings = sinks.validate_submission(spark, *paths, spine, targets)
+    assert errors == [] and len(warnings) == 1 and "S1-2" in warnings[0] and "S3-1" in warnings[0]
+    errors, _ = sinks.validate_submission(spark, paths[0], str(tmp_path / "none.tsv"), spine, targets)
+    assert len(errors) == 1 and "not found" in errors[0]
+
+
+def test_others_true():
+    p = np.array([0.9, 0.5, 0.2, 0.0, 1.0])
+    table = decision.others_true(p)
+    for i in range(len(p)):
+        rest = [x for j, x in enumerate(p) if j != i]
+        want = np.zeros(len(p))
+        for bits in itertools.product((0, 1), repeat=len(rest)):
+            want[sum(bits)] += np.prod([x if b else 1 - x for x, b in zip(rest, bits, strict=True)])
+        assert table[i] == pytest.approx(want)
+
+
+def test_country_holdout_and_sweep(spark, tmp_path):
+    write_split(tmp_path, "train", 60, seed=3)
+    data = records.load_split(spark, str(tmp_path), "train")
+    config = Config.from_dict({"model": {"max_iter": 2, "max_depth": 2, "min_instances": 5}, "blocking": {"char_min_df": 2}})
+    prepared = pipeline.prepare_split(data, config)
+    rows = pipeline.country_holdout(data, config, prepared, 2)
+    assert sorted(r["country"] for r in rows) == ["france", "india"] and sum(r["entities"] for r in rows) == 60 and all(0 <= r["macro_f"] <= 1 for r in rows)
+    swept = pipeline.blocking_sweep(data, prepared.views, [{"name_k": 1, "combined_k": 1}, {"name_k": 20}], config)
+    assert swept[0]["candidate_pairs"] < swept[1]["candidate_pairs"] and swept[0]["name_k"] == 1
