@@ -38,7 +38,7 @@ SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 #: Lists up to this length are tallied pair by pair (in blocks), longer ones probed; about here both take the same time.
-BLOCKWISE = 32768
+BLOCKWISE = 8192
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The SimHash of one text as an unsigned number."""
@@ -141,27 +141,33 @@ def _links(batches, masks, distance):
     out_u: list[int] = []
     out_v: list[int] = []
 
+    def link(k: int, fp: np.ndarray, node: np.ndarray) -> None:
+        for a, b in list_forest(fp, masks[k], distance, flips):
+            out_u.append(int(node[a]))
+            out_v.append(int(node[b]))
+
     def close() -> None:
         k, _, fp, node = (np.concatenate(x) for x in zip(*pieces, strict=True))
         pieces.clear()
         if len(fp) > 1:
-            for a, b in list_forest(fp, masks[int(k[0])], distance, flips):
-                out_u.append(int(node[a]))
-                out_v.append(int(node[b]))
+            link(int(k[0]), fp, node)
 
     for batch in batches:
         if not batch.num_rows:
             continue
         columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
         columns[2] = columns[2].astype(np.int64).view(np.uint64)
-        k, key = columns[:2]
+        k, key, fp, node = columns
         if pieces and (pieces[-1][0][-1] != k[0] or pieces[-1][1][-1] != key[0]):
             close()
-        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]) | (key[1:] != key[:-1])) + 1).tolist(), len(k)]
-        for s, e in zip(edges, edges[1:], strict=False):
-            if s:
-                close()
-            pieces.append([c[s:e] for c in columns])
+        edges = np.concatenate(([0], np.flatnonzero((k[1:] != k[:-1]) | (key[1:] != key[:-1])) + 1, [len(k)]))
+        pieces.append([c[: edges[1]] for c in columns])
+        if len(edges) > 2:
+            close()
+            starts, ends = edges[1:-2], edges[2:-1]
+            for i in np.flatnonzero(ends - starts > 1):  # most runs are of one row
+                link(int(k[starts[i]]), fp[starts[i] : ends[i]], node[starts[i] : ends[i]])
+            pieces.append([c[edges[-2] :] for c in columns])
         if len(out_u) > 50_000:
             yield pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], names=["u", "v"])
             out_u.clear(), out_v.clear()
