@@ -43,7 +43,7 @@ class BlockingConfig:
 class ModelConfig:
     n_folds: int = 5
     seed: int = 42
-    max_iter: int = 60
+    max_iter: int = 300
     max_depth: int = 6
     learning_rate: float = 0.1
     min_instances: int = 40
