@@ -64,7 +64,7 @@ base AS (
     CASE WHEN k % 9 = 4 THEN '' ELSE upper(house || ' ' || street || ' ' || city) || ' ' || code || ' CEDEX' END,
     CASE WHEN nation = 'NATION_7' OR k % 9 = 0 THEN '' ELSE lower(nation) END, 'S3'
   FROM base WHERE seg <> 'FURNITURE'
-  UNION ALL SELECT 'S3-' || id || 'b', w1 || ' ' || w2 || ' ' || kind || ' Branch Office', house || ' ' || street_short || ', Unit 3, ' || city || ', ' || code, nation, 'S3' FROM base WHERE bal > 8000
+  UNION ALL SELECT 'S3-' || id || 'b', w1 || ' ' || w2 || ' ' || kind || ' Branch Office', house || ' ' || street_short || ', Unit 3, ' || city || ', ' || code, CASE WHEN nation = 'NATION_7' THEN 'nil' ELSE nation END, 'S3' FROM base WHERE bal > 8000
   UNION ALL SELECT 'S2-s' || CAST(s_suppkey AS STRING), replace(s_name, '#', ' no ') || ' Exports', CAST(s_suppkey AS STRING) || ' Dock Road, ' || n_name, CASE WHEN n_name = 'NATION_7' THEN '-' ELSE n_name END, 'S2'
   FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey
 ), truth AS (
