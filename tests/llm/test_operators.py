@@ -382,7 +382,8 @@ def plain_spans(t):
 
 def test_base_spans():
     rng, automaton = random.Random(9), pii._automaton()
-    cases = ["a@b.c@d.ef", "x" * 10_000 + "@", "1" * 100_000, "1.2.3.4.5.6.7.8.9", "4111 1111 1111 1111", "+1 (415) 555-0101 x", "é a.b@c-d.org", "1..2.3.4.5"]
+    assert pii.find_spans("x" * 100_000 + "@", automaton) == pii.find_spans("1" * 100_000, automaton) == []  # in linear time, unlike the patterns
+    cases = ["a@b.c@d.ef", "x" * 3000 + "@", "1" * 3000, "1.2.3.4.5.6.7.8.9", "4111 1111 1111 1111", "+1 (415) 555-0101 x", "é a.b@c-d.org", "1..2.3.4.5"]
     for t in cases + ["".join(rng.choice("a.@1 +-:/9b0()%") for _ in range(50)) for _ in range(3000)]:
         assert [s for s in pii.find_spans(t, automaton) if s[1] < 4] == plain_spans(t)
 
