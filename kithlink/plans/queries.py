@@ -40,6 +40,11 @@ def _r(column: str, digits: int = 6):
     return F.round(column, digits).alias(column)
 
 
+def _six(column: str):
+    """A number to six digits, half away from zero after scaling, as DuckDB rounds: differences of nine-digit scores often end in just a half."""
+    return F.round(F.col(column) * 1e6) / 1e6 + 0.0
+
+
 def views_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The business records by the full normaliser."""
     return stored(normalize.normalize_records(fixtures.business(spark, sf_dir)), "views")
@@ -422,7 +427,7 @@ _FEATURE_COLUMNS = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in features.FEA
 def f_features(spark, sf_dir):
     views = views_of(spark, sf_dir)
     rows = features.build_features(views, stored(blocking.generate_candidates(views, CONFIG), "candidates"))
-    return rows.select("s1_id", "t_id", "src", *[(F.round(c, 6) + 0.0).alias(c) for c in features.FEATURES])
+    return rows.select("s1_id", "t_id", "src", *[_six(c).alias(c) for c in features.FEATURES])
 
 
 @query("w3_competition", f"""{PAIRS}, r AS (SELECT s1_id, t_id, src, cheap, row_number() OVER w AS rank, max(cheap) OVER p AS best, count(*) OVER p AS n,
@@ -431,7 +436,7 @@ def f_features(spark, sf_dir):
 SELECT s1_id, t_id, rank, round(cheap - CASE WHEN rank = 1 THEN second ELSE best END, 6) + 0.0 AS margin, round(best - cheap, 6) + 0.0 AS gap_to_best, n FROM r""")
 def w3_competition(spark, sf_dir):
     rows = features.competition(candidate_pairs(spark, sf_dir), ["s1_id", "src"], "cheap", "c", ["t_id"])
-    return rows.select("s1_id", "t_id", F.col("c_rank").cast("long").alias("rank"), (F.round("c_margin", 6) + 0.0).alias("margin"), (F.round("c_gap_to_best", 6) + 0.0).alias("gap_to_best"), F.col("c_n").alias("n"))
+    return rows.select("s1_id", "t_id", F.col("c_rank").cast("long").alias("rank"), _six("c_margin").alias("margin"), _six("c_gap_to_best").alias("gap_to_best"), F.col("c_n").alias("n"))
 
 
 # ---------------------------------------------------------------- decisions
