@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithlink.config import Config
-from kithlink.operators import decision, explore, graph, matcher, metrics
+from kithlink.operators import decision, explore, graph, matcher, metrics, vectors
 from kithlink.plans import cli, pipeline
 from kithlink.sources import records, sinks
 
@@ -304,3 +304,10 @@ def test_country_holdout_and_sweep(spark, tmp_path):
     assert sorted(r["country"] for r in rows) == ["france", "india"] and sum(r["entities"] for r in rows) == 60 and all(0 <= r["macro_f"] <= 1 for r in rows)
     swept = pipeline.blocking_sweep(data, prepared.views, [{"name_k": 1, "combined_k": 1}, {"name_k": 20}], config)
     assert swept[0]["candidate_pairs"] < swept[1]["candidate_pairs"] and swept[0]["name_k"] == 1
+
+
+def test_products_of_pairs_are_rounded(spark):
+    """To nine digits before anything rounds them again, as the blockers' are: 0.12345649996 is 0.1234565."""
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-2")], "s1_id string, t_id string")
+    postings = spark.createDataFrame([("S1-1", "a", 1.0), ("S2-1", "a", 0.12345649996), ("S2-2", "b", 1.0)], "entity_id string, term string, weight double")
+    assert {r["t_id"]: r["cos"] for r in vectors.pair_dot(pairs, postings, "cos").collect()} == {"S2-1": 0.1234565, "S2-2": 0.0}
