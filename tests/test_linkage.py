@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kithlink.config import Config
-from kithlink.operators import decision, explore, graph, matcher, metrics, vectors
+from kithlink.config import BlockingConfig, Config
+from kithlink.operators import blocking, decision, explore, features, graph, matcher, metrics, normalize, vectors
 from kithlink.plans import cli, pipeline
 from kithlink.sources import records, sinks
 
@@ -311,3 +311,19 @@ def test_products_of_pairs_are_rounded(spark):
     pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-2")], "s1_id string, t_id string")
     postings = spark.createDataFrame([("S1-1", "a", 1.0), ("S2-1", "a", 0.12345649996), ("S2-2", "b", 1.0)], "entity_id string, term string, weight double")
     assert {r["t_id"]: r["cos"] for r in vectors.pair_dot(pairs, postings, "cos").collect()} == {"S2-1": 0.1234565, "S2-2": 0.0}
+
+
+def test_tables_that_grow_are_not_broadcast(spark):
+    """Spark guesses exploded and packed tables far too small; broadcast, they go through the driver. Tables of one row a source may."""
+    config = BlockingConfig()
+    rows = [("S1-1", "Acme Blue Traders", "1 Main Street, Pune 100001", "India", "S1"), ("S2-1", "Acme Blue Traders", "1 Main St., Pune 100001", "India", "S2")]
+    views = normalize.normalize_records(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string, source string"))
+    pairs = spark.createDataFrame([("S1-1", "S2-1", "S2", 0.9, 0.8)], "s1_id string, t_id string, src string, name_cos double, addr_cos double")
+    truth = spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, t_id string")
+    found = {
+        "vectors": blocking.record_vectors(views, config), "keys": blocking.exact_key_pairs(views, config), "postal": blocking.shared_postal(views, config),
+        "acronyms": blocking.acronym_pairs(views, config), "rare": blocking.rare_token_pairs(views, config), "cheap": blocking.with_cheap(pairs, views, 0.6),
+        "tfidf": vectors.char_tfidf(views, "name_core"), "dot": vectors.pair_dot(pairs, vectors.char_tfidf(views, "name_core"), "cos"),
+        "idf": features.with_idf(views, "name_tokens", "name"), "labels": matcher.label_pairs(pairs, truth)}
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    assert {k: v._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") for k, v in found.items()} == {k: int(k == "rare") for k in found}
