@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kithlink.config import BlockingConfig, Config
 from kithlink.operators import blocking, decision, explore, features, graph, matcher, metrics, normalize, vectors
 from kithlink.plans import cli, pipeline
+from kithlink.session import stored
 from kithlink.sources import records, sinks
 
 NAMES = ["Acme", "Blue Sky", "Sharma", "Lakshmi", "Delta", "Orion", "Kumar", "Green Field", "Nova", "Summit", "Harbor", "Vertex", "Maple", "Cedar"]
@@ -317,9 +318,9 @@ def test_tables_that_grow_are_not_broadcast(spark):
     """Spark guesses exploded and packed tables far too small; broadcast, they go through the driver. Tables of one row a source may."""
     config = BlockingConfig()
     rows = [("S1-1", "Acme Blue Traders", "1 Main Street, Pune 100001", "India", "S1"), ("S2-1", "Acme Blue Traders", "1 Main St., Pune 100001", "India", "S2")]
-    views = normalize.normalize_records(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string, source string"))
-    pairs = spark.createDataFrame([("S1-1", "S2-1", "S2", 0.9, 0.8)], "s1_id string, t_id string, src string, name_cos double, addr_cos double")
-    truth = spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, t_id string")
+    views = stored(normalize.normalize_records(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string, source string")), "views")
+    pairs = stored(spark.createDataFrame([("S1-1", "S2-1", "S2", 0.9, 0.8)], "s1_id string, t_id string, src string, name_cos double, addr_cos double"), "pairs")
+    truth = stored(spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, t_id string"), "truth")
     found = {
         "vectors": blocking.record_vectors(views, config), "keys": blocking.exact_key_pairs(views, config), "postal": blocking.shared_postal(views, config),
         "acronyms": blocking.acronym_pairs(views, config), "rare": blocking.rare_token_pairs(views, config), "cheap": blocking.with_cheap(pairs, views, 0.6),
