@@ -328,3 +328,24 @@ def test_tables_that_grow_are_not_broadcast(spark):
         "idf": features.with_idf(views, "name_tokens", "name"), "labels": matcher.label_pairs(pairs, truth)}
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
     assert {k: v._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") for k, v in found.items()} == {k: int(k == "rare") for k in found}
+
+
+def test_equal_vectors_are_multiplied_once(monkeypatch):
+    """A thousand copies of a target and of a record cost one product; each record gets the first copies."""
+    import pandas as pd
+    from kithlink.operators import blocking
+
+    def pack(source, names):
+        table = pd.DataFrame({"entity_id": [f"{source}-{i:04d}" for i in range(len(names))], "src": source, "block": 0})
+        for f in "na":
+            table[f"{f}_term"], table[f"{f}_w"] = [[1, 2] if n else [2, 3] for n in names], [[1.0, 2.0]] * len(names)
+        return blocking._packed(table)
+
+    pairs, exact = [], blocking._Targets.exact
+    monkeypatch.setattr(blocking._Targets, "exact", lambda self, asked, n, rows, columns: pairs.append(len(rows)) or exact(self, asked, n, rows, columns))
+    monkeypatch.setattr(blocking, "TILE", 1000)
+    packs = pd.concat([pack("S1", [True] * 1000), pack("S2", [False, *[True] * 1000, False])], ignore_index=True)
+    near = blocking._near_frame(packs, pd.DataFrame({"s1_id": [], "t_id": [], "found": []}), ks=(5, 3, 0), weight=0.6, retrieval=False)
+    assert pairs[:2] == [2, 2]  # by name and by address: both classes of targets, for the only class of records
+    best = near.groupby("s1_id")["t_id"].agg(list)
+    assert len(best) == 1000 and set(map(tuple, best)) == {("S2-0001", "S2-0002", "S2-0003", "S2-0004", "S2-0005")}
