@@ -349,3 +349,19 @@ def test_equal_vectors_are_multiplied_once(monkeypatch):
     assert pairs[:2] == [2, 2]  # by name and by address: both classes of targets, for the only class of records
     best = near.groupby("s1_id")["t_id"].agg(list)
     assert len(best) == 1000 and set(map(tuple, best)) == {("S2-0001", "S2-0002", "S2-0003", "S2-0004", "S2-0005")}
+
+
+def test_queries_train_as_shipped(spark, monkeypatch):
+    """The queries on the matcher train all its folds with the default settings, not few and shallow trees."""
+    from kithlink.config import ModelConfig
+    from kithlink.plans import queries
+
+    seen = []
+
+    def train(rows, folds, config=None):
+        seen.append((config or ModelConfig(), folds.select("fold").distinct().count()))
+        return matcher.Matcher([], None, {"name_char_cos": 1.0}), rows
+
+    monkeypatch.setattr(queries.matcher, "train_matcher", train)
+    assert queries.QUERIES["a25_importances"](spark, "/root/testdata/sf0.001").count() == 1
+    assert seen == [(ModelConfig(), ModelConfig().n_folds)]
